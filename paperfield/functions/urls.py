@@ -91,6 +91,11 @@ def _host(netloc: Column) -> Column:
     return F.regexp_replace(F.lower(F.regexp_extract(_host_port(netloc), r"^([^:]*)", 1)), r"\.+$", "")
 
 
+def netloc_of(url: Column) -> Column:
+    """Authority component as written."""
+    return _part(tidy(url), 2)
+
+
 def domain_of(url: Column) -> Column:
     """Lower-case host without trailing dots, port or user info; '' if there is none."""
     return _host(_part(tidy(url), 2))
