@@ -1,14 +1,14 @@
 """URL semantics as native Column expressions.
 
-The expressions avoid higher-order functions where they can, so that canonicalisation stays inside
-whole-stage code generation; only dot-segment resolution folds over an array.
+Each URL is split once by one regular expression and its parts are bound to a lambda variable, so
+that an expression stays small however often it uses them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------------------------
@@ -34,17 +34,29 @@ RESULTS_PER_PAGE = 10
 
 # RFC 3986 appendix B with the scheme held to its legal alphabet.
 _PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
-_HAS_NETLOC = r"(?s)^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"
 _UNICODE_SPACE = r"\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_EDGES = rf"^[\x00-\x20{_UNICODE_SPACE}]+|[\t-\r\x1c-\x20{_UNICODE_SPACE}]+$|[\t\r\n]"
+_EDGES = rf"^[\x00-\x20{_UNICODE_SPACE}]+|[\t-\r\x1c-\x20{_UNICODE_SPACE}]+$|[\x00\t\r\n]"
 _DOT_SEGMENT = r"(?:^|/)\.\.?(?:/|$)"
 
 
 def tidy(url: Column) -> Column:
-    """Trim surrounding blanks and drop embedded tabs and line breaks; NULL becomes ''."""
+    """Trim surrounding blanks, drop embedded tabs, line breaks and NULs; NULL becomes ''."""
     return F.regexp_replace(F.coalesce(url, F.lit("")), _EDGES, "")
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often ``body`` uses it.
+
+    Keeps deep URL expressions small; repeated inline they outgrow the limits of generated code.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def url_parts(url: Column) -> Column:
+    """array(scheme, authority, path, query, fragment); absent parts are ''."""
+    return F.split(F.regexp_replace(tidy(url), _PARTS, "$1\x00$2\x00$3\x00$4\x00$5"), "\x00")
+
+
 def _part(tidied: Column, group: int) -> Column:
     return F.regexp_extract(tidied, _PARTS, group)
 
@@ -69,8 +81,12 @@ def url_query(url: Column) -> Column:
 
 def percent_decode(text: Column) -> Column:
     """Decode ``%HH``; '+' stays a plus and stray percent signs stay as they are."""
-    guarded = F.regexp_replace(text, r"%(?![0-9A-Fa-f]{2})", "%25")
-    return F.when(F.contains(text, F.lit("%")), F.try_url_decode(F.replace(guarded, F.lit("+"), F.lit("%2B")))).otherwise(text)
+
+    def decode(t: Column) -> Column:
+        guarded = F.replace(F.regexp_replace(t, r"%(?![0-9A-Fa-f]{2})", "%25"), F.lit("+"), F.lit("%2B"))
+        return F.when(F.contains(t, F.lit("%")), F.try_url_decode(guarded)).otherwise(t)
+
+    return bind(text, decode)
 
 
 def form_encode(text: Column) -> Column:
@@ -141,34 +157,43 @@ def canonical_url(url: Column) -> Column:
     Lower-case scheme and host, no user info, default port, fragment, path parameters, trailing
     slashes or tracking pairs; the remaining query is re-encoded in its own order.
     """
-    text = tidy(url)
-    scheme = F.lower(F.coalesce(F.nullif(_part(text, 1), F.lit("")), F.lit("https")))
-    netloc = _part(text, 2)
-    host = _host(netloc)
+    return bind(url_parts(url), lambda parts: bind(_normal_parts(parts), _compose))
+
+
+def _normal_parts(parts: Column) -> Column:
+    netloc = parts[1]
     port_text = F.regexp_extract(_host_port(netloc), r"(?s)^[^:]*:(.*)$", 1)
-    port = F.when(port_text.rlike(r"\A[0-9]+\z"), port_text.try_cast("long"))
-    default = F.when(scheme == "http", 80).otherwise(443)
-    bad_port = (port_text != "") & (port.isNull() | (port > 65535))
-    suffix = F.when((port_text == "") | port.isin(0) | (port == default), "").otherwise(
-        F.concat(F.lit(":"), port.cast("string"))
+    return F.struct(
+        F.lower(F.coalesce(F.nullif(parts[0], F.lit("")), F.lit("https"))).alias("scheme"),
+        F.when(~netloc.rlike(r"[\[\]]"), _host(netloc)).alias("host"),
+        (port_text == "").alias("no_port"),
+        F.when(port_text.rlike(r"\A[0-9]+\z"), port_text.try_cast("long")).alias("port"),
+        _split_params(parts[2])[0].alias("path"),
+        canonical_query(parts[3]).alias("query"),
     )
-    path = _split_params(_part(text, 3))[0]
-    path = F.when(path.isin("", "/"), "/").otherwise(F.regexp_replace(path, r"/+$", ""))
-    query = canonical_query(_part(text, 4))
-    tail = F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))
+
+
+def _compose(url: Column) -> Column:
+    scheme, host, port = url["scheme"], url["host"], url["port"]
+    standard = F.when(scheme == "http", 80).otherwise(443)
+    suffix = F.when(url["no_port"] | port.isin(0) | (port == standard), "").otherwise(F.concat(F.lit(":"), port.cast("string")))
+    path = F.when(url["path"].isin("", "/"), "/").otherwise(F.regexp_replace(url["path"], r"/+$", ""))
+    tail = F.when(url["query"] == "", "").otherwise(F.concat(F.lit("?"), url["query"]))
     return (
-        F.when(text == "", "")
-        .when(~scheme.isin("http", "https"), "")
-        .when(netloc.rlike(r"[\[\]]"), F.lit(None))
+        F.when(~scheme.isin("http", "https"), "")
+        .when(host.isNull(), F.lit(None))
         .when(host == "", "")
-        .when(bad_port, F.lit(None))
+        .when(~url["no_port"] & (port.isNull() | (port > 65535)), F.lit(None))
         .otherwise(F.concat(scheme, F.lit("://"), host, suffix, path, tail))
     )
 
 
 def _without_dot_segments(path: Column) -> Column:
+    return bind(path, lambda p: F.when(p.rlike(_DOT_SEGMENT), bind(F.split(p, "/"), _fold_segments)).otherwise(p))
+
+
+def _fold_segments(segments: Column) -> Column:
     empty = F.array().cast("array<string>")
-    segments = F.split(path, "/")
 
     def step(kept: Column, segment: Column) -> Column:
         return (
@@ -181,52 +206,51 @@ def _without_dot_segments(path: Column) -> Column:
         trailing = F.element_at(segments, -1).isin(".", "..")
         return F.array_join(F.when(trailing, F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
 
-    folded = F.aggregate(segments, empty, step, finish)
-    return F.when(path.rlike(_DOT_SEGMENT), folded).otherwise(path)
+    return F.aggregate(segments, empty, step, finish)
 
 
 def resolve_url(base: Column, ref: Column) -> Column:
     """RFC 3986 reference resolution against an http(s) base, dot segments included."""
-    base_text, text = tidy(base), tidy(ref)
-    base_scheme = F.lower(_part(base_text, 1))
-    scheme = F.coalesce(F.nullif(F.lower(_part(text, 1)), F.lit("")), base_scheme)
-    has_netloc = text.rlike(_HAS_NETLOC) & (_part(text, 2) != "")
-    path, base_path = _part(text, 3), _part(base_text, 3)
-    query = F.when((path == "") & (_part(text, 4) == ""), _part(base_text, 4)).otherwise(_part(text, 4))
-    fragment = _part(text, 5)
+    both = F.struct(
+        tidy(base).alias("base"), url_parts(base).alias("b"), tidy(ref).alias("text"), url_parts(ref).alias("r")
+    )
+    return bind(both, _resolve)
+
+
+def _resolve(urls: Column) -> Column:
+    b, r, base, text = urls["b"], urls["r"], urls["base"], urls["text"]
+    base_scheme = F.lower(b[0])
+    foreign = (r[0] != "") & (F.lower(r[0]) != base_scheme)
+    path, query = r[2], F.when((r[2] == "") & (r[3] == ""), b[3]).otherwise(r[3])
     plain, params = _split_params(path)
-    folder = F.regexp_replace(_split_params(base_path)[0], r"[^/]*$", "")
+    folder = F.regexp_replace(_split_params(b[2])[0], r"[^/]*$", "")
     merged = F.when(plain.startswith("/"), plain).otherwise(
         F.regexp_replace(F.concat(F.when(folder == "", "/").otherwise(folder), plain), "/{2,}", "/")
     )
-    resolved = _without_dot_segments(merged)
-    resolved = F.when(resolved.startswith("/"), resolved).otherwise(F.concat(F.lit("/"), resolved))
-    resolved = F.when(params == "", resolved).otherwise(F.concat(resolved, F.lit(";"), params))
-    final_path = F.when(path == "", base_path).otherwise(resolved)
+    rooted = bind(_without_dot_segments(merged), lambda p: F.when(p.startswith("/"), p).otherwise(F.concat(F.lit("/"), p)))
+    final_path = F.when(path == "", b[2]).otherwise(
+        F.concat(rooted, F.when(params == "", "").otherwise(F.concat(F.lit(";"), params)))
+    )
     return (
-        F.when(base_text == "", text)
-        .when(text == "", base_text)
-        .when((scheme != base_scheme) | has_netloc, F.when(_part(text, 1) == "", F.concat(scheme, F.lit(":"), text)).otherwise(text))
+        F.when(base == "", text)
+        .when(text == "", base)
+        .when(foreign | (r[1] != ""), F.when(r[0] == "", F.concat(base_scheme, F.lit(":"), text)).otherwise(text))
         .otherwise(
             F.concat(
                 base_scheme,
                 F.lit("://"),
-                _part(base_text, 2),
+                b[1],
                 final_path,
                 F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)),
-                F.when(fragment == "", "").otherwise(F.concat(F.lit("#"), fragment)),
+                F.when(r[4] == "", "").otherwise(F.concat(F.lit("#"), r[4])),
             )
         )
     )
 
 
-def with_canonical_link(df: DataFrame, out: str, ref: str, base: str) -> DataFrame:
-    """Resolve column ``ref`` against column ``base`` and canonicalise the result into ``out``.
-
-    Two projections, because one nested expression would repeat the resolution at every use.
-    """
-    resolved = F.when(tidy(F.col(ref)) == "", "").otherwise(resolve_url(F.col(base), F.col(ref)))
-    return df.withColumn("_resolved", resolved).withColumn(out, canonical_url(F.col("_resolved"))).drop("_resolved")
+def canonical_link(ref: Column, base: Column) -> Column:
+    """A reference found on page ``base``, resolved and canonical; '' for an empty one."""
+    return F.when(tidy(ref) == "", "").otherwise(canonical_url(resolve_url(base, ref)))
 
 
 def policy_host(value: Column) -> Column:
@@ -247,27 +271,21 @@ def unwrap_result_url(href: Column) -> Column:
     The first non-empty of the query keys RU, u, url (decoded as a form value, then once more),
     else the path part between ``/RU=`` and ``/RK=``, else the link itself.
     """
-    text = F.coalesce(href, F.lit(""))
-    query = url_query(text)
 
-    def form_value(key: str) -> Column:
+    def form_value(query: Column, key: str) -> Column:
         raw = F.regexp_extract(query, rf"(?s)(?<![^&]){key}=([^&]+)", 1)
         return F.nullif(percent_decode(percent_decode(F.replace(raw, F.lit("+"), F.lit(" ")))), F.lit(""))
 
-    path = url_path(text)
-    in_path = F.regexp_extract(path, r"(?s)/RU=(.*?)(?:/RK=.*)?$", 1)
-    return (
-        F.when(text == "", "")
-        .otherwise(
-            F.coalesce(
-                form_value("RU"),
-                form_value("u"),
-                form_value("url"),
-                F.when(F.contains(path, F.lit("/RU=")), percent_decode(in_path)),
-                text,
-            )
+    def choose(url: Column) -> Column:
+        in_path = F.regexp_extract(url["path"], r"(?s)/RU=(.*?)(?:/RK=.*)?$", 1)
+        return F.coalesce(
+            *[form_value(url["query"], key) for key in ("RU", "u", "url")],
+            F.when(F.contains(url["path"], F.lit("/RU=")), percent_decode(in_path)),
+            url["text"],
         )
-    )
+
+    text = F.coalesce(href, F.lit(""))
+    return bind(F.struct(text.alias("text"), url_path(text).alias("path"), url_query(text).alias("query")), choose)
 
 
 def result_page_url(query: Column, page: Column) -> Column:

@@ -67,7 +67,7 @@ def search_queries(agencies: DataFrame) -> DataFrame:
 
     def fill(template: str) -> Column:
         text = F.replace(F.lit(template), F.lit("{domain}"), F.col("domain"))
-        return F.replace(text, F.lit("{name}"), F.col("agency_name"))
+        return F.replace(text, F.lit("{name}"), F.coalesce("agency_name", F.lit("")))
 
     fixed = F.array(*[fill(t) for t in QUERY_TEMPLATES])
     named = F.coalesce(F.col("agency_name"), F.lit("")) != ""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperfield.functions.content import unescape_entities, without_invisible
-from paperfield.functions.urls import with_canonical_link
+from paperfield.functions.urls import canonical_link
 
 # --- fixed values -----------------------------------------------------------------------------
 SKIPPED_PREFIXES = ("javascript:", "mailto:", "tel:", "#")
@@ -52,4 +52,4 @@ def extract_links(pages: DataFrame, html: str = "html", base: str = "url", keep_
     explode = F.posexplode_outer if keep_pages else F.posexplode
     refs = pages.select(*kept, explode(link_refs(F.col(html))).alias("_pos", "ref"))
     numbered = refs.withColumn("pos", F.col("_pos") + 1).drop("_pos")
-    return with_canonical_link(numbered, "link", "ref", base)
+    return numbered.withColumn("link", canonical_link(F.col("ref"), F.col(base)))

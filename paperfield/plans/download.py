@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from paperfield.functions.retry import DOWNLOAD_RETRIES
 from paperfield.operators.bodies import finalise_bodies, number_collisions, unique_bodies
 from paperfield.operators.queues import finish_downloads
+from paperfield.operators.skew import lookup
 
 
 @dataclass(frozen=True)
@@ -36,7 +37,7 @@ def download_step(
         )
         names = number_collisions(good).select(F.col("dest").alias("download_path"), "sha256", "final_path")
         results = (
-            results.join(names, ["download_path", "sha256"], "left")
+            lookup(results, names, ["download_path", "sha256"], ["canonical_url"])
             .withColumn("download_path", F.coalesce("final_path", "download_path"))
             .drop("final_path")
         )
