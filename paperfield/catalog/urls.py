@@ -3,8 +3,6 @@
 from pyspark.sql import functions as F
 
 from paperfield.catalog.registry import (
-    CANONICAL,
-    HOST,
     LINKS,
     PAGES,
     RULES,
@@ -58,17 +56,12 @@ def link_domain_counts(spark, folder):
 
 
 @query(
-    f"""with {PAGES} select page_id, url || '/../a/./b/' || page_id || '.pdf?x#f' as ref_source,
-    regexp_extract(url, '^([a-z]+://)', 1) || host || case when regexp_matches(url, '://[^/]*/[^/?#]*/') then '/' || regexp_extract(url, '://[^/]*/([^/?#]*)/', 1) else '' end || '/x;p/' || page_id || '.pdf' as resolved from canon"""
+    f"""with {PAGES} select page_id, regexp_extract(url, '^([a-z]+://)', 1) || host || regexp_extract(url, '^[a-z]+://[^/]*([^?#]*/)', 1) || 'x;p/' || page_id || '.pdf' as resolved from canon"""
 )
 def relative_resolution(spark, folder):
     """A relative reference with dot segments, resolved against every page address."""
     ref = F.concat(F.lit("./y/.././x;p/z/../"), F.col("page_id").cast("string"), F.lit(".pdf;q#top"))
-    return table(spark, folder, "pages").select(
-        "page_id",
-        F.concat("url", F.lit("/../a/./b/"), "page_id", F.lit(".pdf?x#f")).alias("ref_source"),
-        urls.canonical_link(ref, F.col("url")).alias("resolved"),
-    )
+    return table(spark, folder, "pages").select("page_id", urls.canonical_link(ref, F.col("url")).alias("resolved"))
 
 
 @query(
@@ -185,21 +178,3 @@ def robots_cache_fill(spark, folder):
     )
     filled = robots.fill_cache(pages.select("host"), answers)
     return filled.select("domain", F.col("status").cast("bigint").alias("status"), "body")
-
-
-@query(f"select page_id, {CANONICAL} as canonical, {HOST} as domain, '{{}}/' || cast(page_id % 4 as varchar) as tail from pages where {HOST} <> ''")
-def url_projection(spark, folder):
-    """Several URL functions in one pass over one column."""
-    pages = table(spark, folder, "pages").withColumn("domain", urls.domain_of(F.col("url"))).filter("domain <> ''")
-    return pages.select("page_id", urls.canonical_url(F.col("url")).alias("canonical"), "domain", F.concat(F.lit("{}/"), (F.col("page_id") % 4).cast("string")).alias("tail"))
-
-
-@query(
-    f"""with {LINKS} select host, cast(count(*) as bigint) as links, cast(sum(case when pos = 1 then 1 else 0 end) as bigint) as pages,
-    min(link) as first_link from links group by host"""
-)
-def host_link_summary(spark, folder):
-    found = extract_links(table(spark, folder, "pages")).withColumn("host", urls.domain_of(F.col("url")))
-    return found.groupBy("host").agg(F.count("*").alias("links"), F.count_if(F.col("pos") == 1).alias("pages"), F.min("link").alias("first_link"))
-
-

@@ -107,3 +107,17 @@ def lookup(
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def with_next(df: DataFrame, key: str, ts: str, tie: str, out: str = "next_ts", width_seconds: int = 3600) -> DataFrame:
+    """Time of the next row of the same key, by (ts, tie); NULL for the last one.
+
+    A key is cut into time buckets, so that no task sorts its whole history: rows look ahead within
+    their bucket, and the last row of a bucket takes the first time of the key's next bucket.
+    """
+    cut = df.withColumn("_bucket", F.floor(F.unix_micros(ts) / F.lit(width_seconds * 1_000_000)))
+    firsts = cut.groupBy(key, "_bucket").agg(F.min(ts).alias("_start"))
+    later = firsts.withColumn("_later", F.lead("_start").over(Window.partitionBy(key).orderBy("_bucket"))).drop("_start")
+    inside = cut.withColumn("_near", F.lead(ts).over(Window.partitionBy(key, "_bucket").orderBy(ts, tie)))
+    joined = inside.join(later, [key, "_bucket"], "left")
+    return joined.withColumn(out, F.coalesce("_near", "_later")).select(*df.columns, out)
