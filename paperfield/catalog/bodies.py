@@ -267,13 +267,13 @@ def download_finalise(spark, folder):
 
 @query(
     f"""{_STEP} select canonical_url, case state when 'complete' then 'completed' else state end as status, case when state = 'queued' then
-      round(least(120.0, pow(2.0, greatest(attempts - 1, 1))) * (0.5 + cast(('0x' || substr(md5(canonical_url || '|' || greatest(attempts - 1, 1)), 1, 8)) as bigint) / 4294967296.0), 3) end as wait from judged"""
+      cast(round(least(120.0, pow(2.0, greatest(attempts - 1, 1))) * (0.5 + cast(('0x' || substr(md5(canonical_url || '|' || greatest(attempts - 1, 1)), 1, 8)) as bigint) / 4294967296.0) * 1000000) as bigint) end as wait_us from judged"""
 )
 def failure_fold(spark, folder):
     """Download queue after the same batch, with the wait before the next try."""
     queue = _step(spark, folder).queue
-    wait = F.round((F.unix_micros("next_attempt") - F.unix_micros(now())) / 1e6, 3)
-    return queue.select("canonical_url", "status", wait.alias("wait"))
+    wait = F.unix_micros("next_attempt") - F.unix_micros(now())
+    return queue.select("canonical_url", "status", wait.alias("wait_us"))
 
 
 @query("select sha256(text) as sha256, substr(sha256(text), 1, 2) as p1, substr(sha256(text), 3, 2) as p2, max(text) as body from documents group by 1")

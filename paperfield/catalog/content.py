@@ -61,7 +61,7 @@ def html_sniff(spark, folder):
 @query(
     """select page_id, array_to_string(list_filter(list_transform(
       regexp_split_to_array(regexp_replace(html, '<!--.*?-->|<style[^>]*>.*?</style>|<script[^>]*>.*?</script>', '<!>', 'gs'), '<[A-Za-z/!?][^>]*>'),
-      lambda p: trim(replace(replace(replace(replace(p, '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&amp;', '&'), ' ' || chr(9) || chr(10) || chr(13) || chr(160))), lambda p: p <> ''), ' ') as visible
+      lambda p: trim(replace(replace(replace(replace(p, '&quot;', '"'), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&'), ' ' || chr(9) || chr(10) || chr(13) || chr(160))), lambda p: p <> ''), ' ') as visible
     from pages"""
 )
 def visible_text(spark, folder):

@@ -103,7 +103,7 @@ def _result_pages(spark, folder):
     docs = table(spark, folder, "documents")
     target = F.concat(F.lit("https://"), "source", F.lit(".example.com/"), F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 2 == 0, ".pdf").otherwise(".html"))
     wrapped = F.concat(F.lit("https://r.search.yahoo.com/RU="), urls.form_encode(target), F.lit("/RK=2"))
-    word = F.regexp_extract("text", r"^\w+", 0)
+    word = F.regexp_extract("text", r"^[\p{L}\p{N}_]+", 0)
     html = F.concat(
         F.lit("<html><div id='nav'><a href='https://nav.example.com/'>nav</a></div><div class='r'><h3><a href='"), wrapped, F.lit("'>Doc <b>"), word,
         F.lit("</b></a></h3><p> found "), F.col("lang"), F.lit(" </p></div><ol class='searchCenterMiddle'><li><a href='https://spam-farm.example.org/"),

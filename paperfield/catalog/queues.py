@@ -150,7 +150,7 @@ _WAIT = "least(120.0, pow(2.0, attempts)) * (0.5 + cast(('0x' || substr(md5(url
 @query(
     f"""with {CRAWL_JOBS}, done as (select *, cast(regexp_extract(url, '[0-9]+$', 0) as bigint) % 5 as r from jobs)
     select url, case when status <> 'processing' then status when r in (0, 1) then 'queued' when r = 2 then 'failed' else 'completed' end as status,
-      case when status = 'processing' and r = 0 then 30.0 when status = 'processing' and r = 1 then round({_WAIT}, 3) end as wait from done"""
+      case when status = 'processing' and r = 0 then cast(30000000 as bigint) when status = 'processing' and r = 1 then cast(round({_WAIT} * 1000000) as bigint) end as wait_us from done"""
 )
 def crawl_outcomes(spark, folder):
     """Running crawl jobs finished: throttled with and without a header, broken, completed."""
@@ -164,8 +164,8 @@ def crawl_outcomes(spark, folder):
         now().alias("at"),
     )
     after = queues.finish_crawl(jobs.withColumn("next_attempt", F.lit(None).cast("timestamp")), outcomes)
-    wait = F.round((F.unix_micros("next_attempt") - F.unix_micros(now())) / 1e6, 3)
-    return after.select("url", "status", wait.alias("wait"))
+    wait = F.unix_micros("next_attempt") - F.unix_micros(now())
+    return after.select("url", "status", wait.alias("wait_us"))
 
 
 @query(

@@ -64,7 +64,7 @@ _RETRIES = """with e as (select 'job ' || user_id || '-' || (event_id % 4) as jo
     states as (select s.job, case when failures = 6 then 'failed' when win is not null then 'completed' else 'queued' end as status, failures,
       case when failures = 6 or win is null then last_fail else struct_extract(win, 1) end as changed_at from sums s left join wins w on w.job = s.job)
     select job, status, failures, changed_at, case when status = 'queued' and failures > 0 then
-      round(least(120.0, pow(2.0, greatest(failures - 1, 1))) * (0.5 + cast(('0x' || substr(md5(job || '|' || greatest(failures - 1, 1)), 1, 8)) as bigint) / 4294967296.0), 3) end as wait from states"""
+      cast(round(least(120.0, pow(2.0, greatest(failures - 1, 1))) * (0.5 + cast(('0x' || substr(md5(job || '|' || greatest(failures - 1, 1)), 1, 8)) as bigint) / 4294967296.0) * 1000000) as bigint) end as wait_us from states"""
 
 
 def _outcomes(events):
@@ -74,8 +74,8 @@ def _outcomes(events):
 
 
 def _shown(states):
-    wait = F.round((F.unix_micros("next_attempt") - F.unix_micros("changed_at")) / 1e6, 3)
-    return states.select("job", "status", F.col("failures").cast("bigint").alias("failures"), plain("changed_at"), wait.alias("wait"))
+    wait = F.unix_micros("next_attempt") - F.unix_micros("changed_at")
+    return states.select("job", "status", F.col("failures").cast("bigint").alias("failures"), plain("changed_at"), wait.alias("wait_us"))
 
 
 @query(_RETRIES)

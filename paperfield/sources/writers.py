@@ -64,7 +64,13 @@ def write_jsonl(rows: DataFrame, path: str, ascii_only: bool = False) -> int:
     return seen.get["n"]
 
 
-def write_bodies(unique: DataFrame, path: str) -> None:
-    """Append (sha256, body) to the body table, fanned out by the first two digest bytes."""
-    fanned = unique.withColumns({"p1": F.substring("sha256", 1, 2), "p2": F.substring("sha256", 3, 2)})
-    fanned.repartition("p1").sortWithinPartitions("p1", "p2").write.mode("append").partitionBy("p1", "p2").parquet(path)
+def write_bodies(unique: DataFrame, path: str, files_per_prefix: int = 1) -> None:
+    """Append (sha256, body) to the body table, one folder per first digest byte.
+
+    Digests are uniform, so folders fill evenly; raise ``files_per_prefix`` with the data.  Files
+    are sorted by digest, so a lookup skips all but one row group.
+    """
+    p1, p2 = F.substring("sha256", 1, 2), F.substring("sha256", 3, 2)
+    part = F.pmod(F.conv(F.substring("sha256", 5, 4), 16, 10).cast("int"), F.lit(files_per_prefix))
+    fanned = unique.withColumns({"p1": p1, "p2": p2}).repartition("p1", part)
+    fanned.sortWithinPartitions("p1", "sha256").write.mode("append").partitionBy("p1").parquet(path)
