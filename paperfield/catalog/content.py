@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from paperfield.catalog.registry import DOCUMENT_ROWS, document_rows, query, table
+from paperfield.catalog.registry import DOCUMENT_ROWS, document_rows, query, spread_table, table
 from paperfield.functions import content, retry, urls
 
 _TYPES = "list_value('application/pdf','text/html; charset=utf-8','image/png','application/msword','application/zip','application/octet-stream',null,'video/mp4','text/plain')[cast(doc_id % 9 as integer) + 1]"
@@ -65,7 +65,7 @@ def html_sniff(spark, folder):
     from pages"""
 )
 def visible_text(spark, folder):
-    return table(spark, folder, "pages").select("page_id", content.visible_text(F.col("html")).alias("visible"))
+    return spread_table(spark, folder, "pages").select("page_id", content.visible_text(F.col("html")).alias("visible"))
 
 
 @query(

@@ -9,6 +9,7 @@ from paperfield.catalog.registry import (
     agency_rows,
     now,
     query,
+    spread_table,
     table,
 )
 from paperfield.functions import urls
@@ -100,7 +101,7 @@ def result_unwrap(spark, folder):
 
 def _result_pages(spark, folder):
     """Captured result pages: per document one page with a wrapped, a plain, a repeated and an own link."""
-    docs = table(spark, folder, "documents")
+    docs = spread_table(spark, folder, "documents")
     target = F.concat(F.lit("https://"), "source", F.lit(".example.com/"), F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 2 == 0, ".pdf").otherwise(".html"))
     wrapped = F.concat(F.lit("https://r.search.yahoo.com/RU="), urls.form_encode(target), F.lit("/RK=2"))
     word = F.regexp_extract("text", r"^[\p{L}\p{N}_]+", 0)

@@ -8,6 +8,7 @@ from paperfield.catalog.registry import (
     RULES,
     allowed_sql,
     query,
+    spread_table,
     table,
 )
 from paperfield.functions import urls
@@ -37,7 +38,7 @@ def tracking_params(spark, folder):
 
 @query(f"with {LINKS} select page_id, cast(pos as bigint) as pos, link from links")
 def page_links(spark, folder):
-    found = extract_links(table(spark, folder, "pages"))
+    found = extract_links(spread_table(spark, folder, "pages"))
     return found.select("page_id", F.col("pos").cast("bigint").alias("pos"), "link")
 
 
@@ -46,7 +47,7 @@ def page_links(spark, folder):
     from links where {allowed_sql('host')} group by host"""
 )
 def link_domain_counts(spark, folder):
-    found = policy.with_verdict(extract_links(table(spark, folder, "pages")), "link", RULES).filter("allowed")
+    found = policy.with_verdict(extract_links(spread_table(spark, folder, "pages")), "link", RULES).filter("allowed")
     return (
         found.groupBy(urls.domain_of(F.col("link")).alias("domain"), "link")
         .agg(F.count("*").alias("n"))
@@ -72,7 +73,7 @@ def relative_resolution(spark, folder):
 def url_dedup_first_seen(spark, folder):
     """First sighting of every link, with the number of sightings."""
     order = F.struct("page_id", F.col("pos").cast("bigint").alias("pos"))
-    firsts = extract_links(table(spark, folder, "pages")).groupBy("link").agg(F.min(order).alias("first"), F.count("*").alias("seen"))
+    firsts = extract_links(spread_table(spark, folder, "pages")).groupBy("link").agg(F.min(order).alias("first"), F.count("*").alias("seen"))
     return firsts.select("link", F.col("first.page_id").alias("first_page"), F.col("first.pos").alias("first_pos"), "seen")
 
 

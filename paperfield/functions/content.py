@@ -120,7 +120,8 @@ def _code_point(number: Column) -> Column:
 
 def unescape_entities(text: Column) -> Column:
     """Resolve numeric and HTML 4 named character references."""
-    named = F.create_map(*[F.lit(v) for name, code in name2codepoint.items() for v in (name, chr(code))])
+    pairs = "\x02".join(f"{name}\x01{chr(code)}" for name, code in name2codepoint.items())
+    named = F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x01"))
     reference = r"(?s)\A&(?:#[xX]([0-9A-Fa-f]{1,8})|#([0-9]{1,9})|([A-Za-z][A-Za-z0-9]*)(?=;));?(.*)\z"
 
     def resolve(piece: Column) -> Column:

@@ -36,6 +36,7 @@ RESULTS_PER_PAGE = 10
 _PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 _UNICODE_SPACE = r"\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _EDGES = rf"^[\x00-\x20{_UNICODE_SPACE}]+|[\t-\r\x1c-\x20{_UNICODE_SPACE}]+$|[\x00\t\r\n]"
+_PLAIN_PATH = r"\A/(?!/)(?!.*/\.{1,2}(?:/|\z))(?!\.{1,2}(?:/|\z))[^?#;\x00-\x20]*[^/?#;\x00-\x20]\z"
 _DOT_SEGMENT = r"(?:^|/)\.\.?(?:/|$)"
 
 
@@ -54,7 +55,11 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def url_parts(url: Column) -> Column:
     """array(scheme, authority, path, query, fragment); absent parts are ''."""
-    return F.split(F.regexp_replace(tidy(url), _PARTS, "$1\x00$2\x00$3\x00$4\x00$5"), "\x00")
+    return _split_tidy(tidy(url))
+
+
+def _split_tidy(text: Column) -> Column:
+    return F.split(F.regexp_replace(text, _PARTS, "$1\x00$2\x00$3\x00$4\x00$5"), "\x00")
 
 
 def _part(tidied: Column, group: int) -> Column:
@@ -157,7 +162,11 @@ def canonical_url(url: Column) -> Column:
     Lower-case scheme and host, no user info, default port, fragment, path parameters, trailing
     slashes or tracking pairs; the remaining query is re-encoded in its own order.
     """
-    return bind(url_parts(url), lambda parts: bind(_normal_parts(parts), _compose))
+    return _canonical_tidy(tidy(url))
+
+
+def _canonical_tidy(text: Column) -> Column:
+    return bind(_split_tidy(text), lambda parts: bind(_normal_parts(parts), _compose))
 
 
 def _normal_parts(parts: Column) -> Column:
@@ -211,14 +220,23 @@ def _fold_segments(segments: Column) -> Column:
 
 def resolve_url(base: Column, ref: Column) -> Column:
     """RFC 3986 reference resolution against an http(s) base, dot segments included."""
-    both = F.struct(
-        tidy(base).alias("base"), url_parts(base).alias("b"), tidy(ref).alias("text"), url_parts(ref).alias("r")
+    return bind(_base(base), lambda b: bind(tidy(ref), lambda text: _resolve(b, text)))
+
+
+def _base(url: Column) -> Column:
+    """What resolution needs of a base URL, parsed once for all references of a page."""
+    return F.struct(
+        tidy(url).alias("text"),
+        url_parts(url).alias("parts"),
+        F.regexp_extract(F.coalesce(canonical_url(url), F.lit("")), r"^https?://[^/?#]*", 0).alias("origin"),
     )
-    return bind(both, _resolve)
 
 
-def _resolve(urls: Column) -> Column:
-    b, r, base, text = urls["b"], urls["r"], urls["base"], urls["text"]
+def _resolve(base: Column, text: Column) -> Column:
+    return bind(_split_tidy(text), lambda parts: _resolve_parts(base["text"], base["parts"], text, parts))
+
+
+def _resolve_parts(base: Column, b: Column, text: Column, r: Column) -> Column:
     base_scheme = F.lower(b[0])
     foreign = (r[0] != "") & (F.lower(r[0]) != base_scheme)
     path, query = r[2], F.when((r[2] == "") & (r[3] == ""), b[3]).otherwise(r[3])
@@ -250,7 +268,24 @@ def _resolve(urls: Column) -> Column:
 
 def canonical_link(ref: Column, base: Column) -> Column:
     """A reference found on page ``base``, resolved and canonical; '' for an empty one."""
-    return F.when(tidy(ref) == "", "").otherwise(canonical_url(resolve_url(base, ref)))
+    return bind(_base(base), lambda b: _link(b, ref))
+
+
+def canonical_links(refs: Column, base: Column) -> Column:
+    """The same for an array of references; the base is parsed once."""
+    return bind(_base(base), lambda b: F.transform(refs, lambda ref: _link(b, ref)))
+
+
+def _link(base: Column, ref: Column) -> Column:
+    # Most links are plain absolute paths: nothing to resolve, decode or strip.
+    def follow(text: Column) -> Column:
+        return (
+            F.when(text == "", "")
+            .when((base["origin"] != "") & text.rlike(_PLAIN_PATH), F.concat(base["origin"], text))
+            .otherwise(_canonical_tidy(_resolve(base, text)))
+        )
+
+    return bind(tidy(ref), follow)
 
 
 def policy_host(value: Column) -> Column:

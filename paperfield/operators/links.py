@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperfield.functions.content import unescape_entities, without_invisible
-from paperfield.functions.urls import canonical_link
+from paperfield.functions.urls import bind, canonical_links
 
 # --- fixed values -----------------------------------------------------------------------------
 SKIPPED_PREFIXES = ("javascript:", "mailto:", "tel:", "#")
@@ -50,6 +50,6 @@ def extract_links(pages: DataFrame, html: str = "html", base: str = "url", keep_
     """
     kept = [c for c in pages.columns if c != html]
     explode = F.posexplode_outer if keep_pages else F.posexplode
-    refs = pages.select(*kept, explode(link_refs(F.col(html))).alias("_pos", "ref"))
-    numbered = refs.withColumn("pos", F.col("_pos") + 1).drop("_pos")
-    return numbered.withColumn("link", canonical_link(F.col("ref"), F.col(base)))
+    found = bind(link_refs(F.col(html)), lambda refs: F.arrays_zip(refs.alias("ref"), canonical_links(refs, F.col(base)).alias("link")))
+    rows = pages.select(*kept, explode(found).alias("_pos", "_link"))
+    return rows.select(*kept, F.col("_link")["ref"].alias("ref"), (F.col("_pos") + 1).alias("pos"), F.col("_link")["link"].alias("link"))

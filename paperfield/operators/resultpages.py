@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperfield.functions.content import SNIPPET_LIMIT, TITLE_LIMIT, cut
-from paperfield.functions.urls import domain_of, netloc_of, unwrap_result_url
+from paperfield.functions.urls import bind, domain_of, netloc_of, unwrap_result_url
 from paperfield.operators.skew import first_per_key
 
 # --- fixed values -----------------------------------------------------------------------------
@@ -123,8 +123,12 @@ def is_provider_link(href: Column) -> Column:
 
 def is_result_target(url: Column) -> Column:
     """http(s) targets outside the provider's hosts."""
-    host = domain_of(url)
-    return url.startswith("http") & ~(host.endswith(EXCLUDED_HOSTS[0]) | host.endswith(EXCLUDED_HOSTS[1]))
+
+    def outside(target: Column) -> Column:
+        excluded = domain_of(target).rlike(rf"(?:{'|'.join(h.replace('.', '[.]') for h in EXCLUDED_HOSTS)})$")
+        return target.startswith("http") & ~excluded
+
+    return bind(url, outside)
 
 
 def extract_hits(pages: DataFrame) -> DataFrame:

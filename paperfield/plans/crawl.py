@@ -144,6 +144,12 @@ def crawl(
 ) -> CrawlResult:
     """Breadth-first expansion of ``frontier`` (url, priority) over a materialised link table."""
     facts = materialize(newest_facts(links), "facts")
+    bound = links.agg(
+        F.count_if((F.col("pos").isNull() | (F.col("pos") == 1)) & (F.col("kind") == "html")).alias("pages"),
+        F.count_if(F.col("is_pdf") | url_looks_like_pdf(F.col("link"))).alias("documents"),
+    ).first()
+    known = urls.count() if urls is not None else 0
+    pages_may_reach_cap = bound["pages"] + known >= options.max_pages
     edges = links.filter(F.col("link") != "").select("request", F.col("fetched_at").alias("_at"), "link")
     known_pages = (
         urls.filter(F.col("url_type") == "html").select("domain", F.col("canonical_url").alias("final"))
@@ -155,7 +161,7 @@ def crawl(
     seen = [level.select("url")]
     depth = 0
     while True:
-        judged = materialize(_judge(level, facts, robots_rules, options, known_pages, done, now), f"level{depth}")
+        judged = materialize(_judge(level, facts, robots_rules, options, known_pages if pages_may_reach_cap else None, done, now), f"level{depth}")
         done.append(judged)
         if depth >= options.max_depth:
             break
@@ -175,25 +181,23 @@ def crawl(
     return CrawlResult(
         queue=everything.select("url", "depth", "priority", "status", "http_status", "next_attempt"),
         urls=_remembered(everything, now),
-        sightings=_document_sightings(everything, followed, options, documents, now),
+        sightings=_document_sightings(everything, followed, options, documents, now, bound["documents"]),
     )
 
 
 def _judge(
     level: DataFrame, facts: DataFrame, robots_rules: DataFrame, options: CrawlOptions,
-    known_pages: DataFrame, done: Sequence[DataFrame], now: Column,
+    known_pages: DataFrame | None, done: Sequence[DataFrame], now: Column,
 ) -> DataFrame:
-    """Statuses of one level.  A job whose response was not captured stays queued."""
+    """Statuses of one level.  A job whose response was not captured stays queued.
+
+    ``known_pages`` None means that the page cap is out of reach altogether.
+    """
     joined = level.join(facts.withColumnRenamed("request", "url"), "url", "left")
     checked = with_robots_verdict(joined, "url", robots_rules).withColumn("domain", domain_of(F.col("url")))
     captured, throttled = F.col("http_status").isNotNull(), is_throttled(F.col("http_status"))
     is_page = F.col("robots_allowed") & captured & ~throttled & ~F.col("is_pdf") & (F.col("kind") == "html")
-    earlier = [d.filter((F.col("status") == "completed") & F.col("is_page")).select(domain_of(F.col("final")).alias("domain"), "final") for d in done]
-    pages = reduce(DataFrame.unionByName, earlier, known_pages).distinct()
-    used = pages.groupBy("domain").agg(F.count("*").alias("n"))
-    candidates = checked.filter(is_page).select(domain_of(F.col("final")).alias("domain"), "final", "priority", "url")
-    yields = first_per_key(candidates, ["final"], level_order()).join(pages.select("final"), "final", "left_anti")
-    limits = _page_limits(yields, used, options.max_pages)
+    limits = None if known_pages is None else _level_limits(checked.filter(is_page), known_pages, done, options.max_pages)
     if limits is None:
         limited = checked.withColumn("_over", F.lit(False))
     else:
@@ -216,6 +220,19 @@ def _judge(
     )
 
 
+def _level_limits(candidates: DataFrame, known_pages: DataFrame, done: Sequence[DataFrame], cap: int) -> DataFrame | None:
+    """Page limits of a level, given the pages of the index and of the levels before."""
+    earlier = [
+        d.filter((F.col("status") == "completed") & F.col("is_page")).select(domain_of(F.col("final")).alias("domain"), "final")
+        for d in done
+    ]
+    pages = reduce(DataFrame.unionByName, earlier, known_pages).distinct()
+    used = pages.groupBy("domain").agg(F.count("*").alias("n"))
+    keyed = candidates.select(domain_of(F.col("final")).alias("domain"), "final", "priority", "url")
+    yields = first_per_key(keyed, ["final"], level_order()).join(pages.select("final"), "final", "left_anti")
+    return _page_limits(yields, used, cap)
+
+
 def _follow(judged: DataFrame, edges: DataFrame, options: CrawlOptions, extra_hosts: DataFrame | None) -> DataFrame:
     """Allowed links of the completed pages: (final, depth, link)."""
     pages = judged.filter((F.col("status") == "completed") & F.col("is_page")).select(
@@ -242,7 +259,7 @@ def _remembered(everything: DataFrame, now: Column) -> DataFrame:
 
 
 def _document_sightings(
-    everything: DataFrame, followed: DataFrame, options: CrawlOptions, documents: DataFrame | None, now: Column
+    everything: DataFrame, followed: DataFrame, options: CrawlOptions, documents: DataFrame | None, now: Column, bound: int
 ) -> DataFrame:
     direct = everything.filter((F.col("status") == "completed") & F.col("is_pdf")).select(
         F.col("final").alias("url"), F.col("url").alias("source_url"), "depth", domain_of(F.col("url")).alias("domain")
@@ -260,7 +277,7 @@ def _document_sightings(
         used = documents.groupBy("domain").agg(F.count("*").alias("n"))
         known = found.join(documents.select(F.col("canonical_url").alias("url")), "url", "left_semi")
         found = found.join(known.select("url"), "url", "left_anti")
-    if used is not None or has_large_group(found, ["domain"], options.max_documents):
+    if used is not None or (bound > options.max_documents and has_large_group(found, ["domain"], options.max_documents)):
         found = domain_cap(found, options.max_documents, used, order).drop("rank")
     if known is not None:
         found = found.unionByName(known)

@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Call-site capture costs several round trips to the JVM per expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -28,6 +28,16 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a plain scan that has fewer partitions than there are cores.
+
+    For CPU-heavy work on small tables, whose single row group would keep one core busy.  The scan
+    of a large table has more partitions than cores and is left as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def scan_files(spark: SparkSession, root: str, pattern: str = "*.pdf") -> DataFrame:
     """(path, length) of the files below ``root``; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)

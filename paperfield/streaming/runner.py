@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 Handler = Callable[[DataFrame, int], None]
@@ -35,18 +36,24 @@ class VersionedTable:
         return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/v{n}" for n in range(number + 1)])
 
 
-def run_available(stream: DataFrame, handle: Handler, checkpoint: str) -> int:
-    """Process what is there, batch by batch; returns the number of the last batch, -1 for none."""
-    last = [-1]
+def last_committed(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the newest committed batch of a query, -1 if there is none."""
+    try:
+        commits = spark.read.format("binaryFile").load(f"{checkpoint}/commits")
+    except Exception as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return -1
+    number = F.regexp_extract("path", r"/([0-9]+)$", 1).try_cast("int")
+    newest = commits.agg(F.max(number)).first()[0]
+    return -1 if newest is None else newest
 
-    def each(batch: DataFrame, number: int) -> None:
-        handle(batch, number)
-        last[0] = number
 
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    started = writer.trigger(availableNow=True).start()
-    started.awaitTermination()
-    return last[0]
+def run_available(stream: DataFrame, handle: Handler, checkpoint: str) -> int:
+    """Process what is there, batch by batch; returns the number of the newest batch, -1 for none."""
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return last_committed(stream.sparkSession, checkpoint)
 
 
 def file_stream(
