@@ -18,7 +18,7 @@ from paperfield.functions.urls import canonical_url
 from paperfield.operators import bodies, status, tables
 from paperfield.operators.agencies import prepare_agencies
 from paperfield.plans.download import download_step
-from paperfield.session import new_location
+from paperfield.session import materialize, new_location
 from paperfield.sources import readers, writers
 
 
@@ -122,8 +122,8 @@ def _sightings(spark, folder):
 def document_merge(spark, folder):
     """Sightings of one day merged into an empty index, then those of the next day."""
     seen = _sightings(spark, folder)
-    first = tables.sightings_by_document(seen.filter("depth = 2"))
-    later = tables.sightings_by_document(seen.filter("depth < 2"))
+    first = materialize(tables.sightings_by_document(seen.filter("depth = 2")), "first")
+    later = materialize(tables.sightings_by_document(seen.filter("depth < 2")), "later")
     empty = spark.createDataFrame([], schemas.DOCUMENTS)
     docs = tables.merge_documents(tables.merge_documents(empty, first), later)
     urls = tables.merge_document_urls(tables.merge_document_urls(spark.createDataFrame([], schemas.URLS), first), later)

@@ -40,16 +40,15 @@ def top_per_key(
     """
     levels = salts if cap > MAP_SIDE_LIMIT else ()
     for salt in levels:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order_keys(df, order)), F.lit(salt)))
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable(df)), F.lit(salt)))
         window = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = salted.withColumn(out, F.row_number().over(window)).filter(F.col(out) <= cap).drop(out, "_salt")
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(out) <= cap)
 
 
-def order_keys(df: DataFrame, order: Sequence[Column]) -> list[Column]:
-    """Columns that spread the rows of one key over the salts."""
-    simple = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.simpleString() in ("string", "bigint", "int", "timestamp", "timestamp_ntz")]
-    return simple or [F.monotonically_increasing_id()]
+def hashable(df: DataFrame) -> list[Column]:
+    """Columns whose hash spreads the rows of one key; a rerun task computes the same hash."""
+    return [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
 
 
 def has_large_group(df: DataFrame, keys: Sequence[str], limit: int) -> bool:

@@ -1,8 +1,9 @@
 """Frontier expansion over captured responses, level by level.
 
 Bodies are read once: :func:`link_table` turns responses into a compact table of facts and links,
-and the levels work on that.  The levels and the frontier are written tables, so lineage does not
-grow with depth; only their emptiness reaches the driver.
+and the levels work on that, bucketed by address, so that a level shuffles only its frontier.  The
+levels and the frontier are written tables, so lineage does not grow with depth; only their
+emptiness reaches the driver.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from paperfield.operators.links import extract_links
 from paperfield.operators.policy import HostRules, with_verdict
 from paperfield.operators.robots import with_robots_verdict
 from paperfield.operators.skew import first_per_key, has_large_group, lookup, rank_within, top_per_key
-from paperfield.session import materialize
+from paperfield.session import materialize, materialize_bucketed
 
 # --- fixed values -----------------------------------------------------------------------------
 MAX_DEPTH = 5
@@ -143,14 +144,16 @@ def crawl(
     extra_hosts: DataFrame | None = None,
 ) -> CrawlResult:
     """Breadth-first expansion of ``frontier`` (url, priority) over a materialised link table."""
-    facts = materialize(newest_facts(links), "facts")
+    facts = materialize_bucketed(newest_facts(links), "facts", "request")
     bound = links.agg(
         F.count_if((F.col("pos").isNull() | (F.col("pos") == 1)) & (F.col("kind") == "html")).alias("pages"),
         F.count_if(F.col("is_pdf") | url_looks_like_pdf(F.col("link"))).alias("documents"),
     ).first()
     known = urls.count() if urls is not None else 0
     pages_may_reach_cap = bound["pages"] + known >= options.max_pages
-    edges = links.filter(F.col("link") != "").select("request", F.col("fetched_at").alias("_at"), "link")
+    newest = facts.select("request", "fetched_at")
+    found = links.filter(F.col("link") != "").join(newest, ["request", "fetched_at"], "left_semi")
+    edges = materialize_bucketed(found.select("request", "link"), "edges", "request")
     known_pages = (
         urls.filter(F.col("url_type") == "html").select("domain", F.col("canonical_url").alias("final"))
         if urls is not None
@@ -236,9 +239,9 @@ def _level_limits(candidates: DataFrame, known_pages: DataFrame, done: Sequence[
 def _follow(judged: DataFrame, edges: DataFrame, options: CrawlOptions, extra_hosts: DataFrame | None) -> DataFrame:
     """Allowed links of the completed pages: (final, depth, link)."""
     pages = judged.filter((F.col("status") == "completed") & F.col("is_page")).select(
-        F.col("url").alias("request"), "final", "depth", F.col("fetched_at").alias("_at")
+        F.col("url").alias("request"), "final", "depth"
     )
-    linked = pages.join(edges, ["request", "_at"]).select("final", "depth", "link")
+    linked = pages.join(edges, "request").select("final", "depth", "link")
     return with_verdict(linked, "link", options.rules, extra_hosts).filter("allowed").drop("allowed")
 
 
@@ -293,7 +296,7 @@ def fetch_plan(jobs: DataFrame, start: Column, order: Sequence[Column], rps: flo
 
 def reachable(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
     """(node, depth): the nodes within ``max_depth`` steps of the seeds with their least depth."""
-    compact = materialize(edges.select("src", "dst").distinct(), "edges")
+    compact = materialize_bucketed(edges.select("src", "dst").distinct(), "edges", "src")
     level = materialize(seeds.select("node").distinct().withColumn("depth", F.lit(0)), "reached")
     levels = [level]
     for depth in range(1, max_depth + 1):

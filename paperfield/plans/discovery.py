@@ -14,6 +14,7 @@ from paperfield.operators.queues import due_jobs, finish_searches
 from paperfield.operators.resultpages import get_extractor
 from paperfield.operators.skew import first_per_key
 from paperfield.operators.tables import align, insert_new, replace_groups
+from paperfield.session import materialize
 
 # --- fixed values -----------------------------------------------------------------------------
 PAGES_PER_QUERY = 10
@@ -60,7 +61,7 @@ def fetch_step(
     judged = fetched.withColumn("_o", block_outcome(F.col("status"), F.col("html"), F.col("retry_after")))
     good = ~F.col("_o.blocked") & (F.col("status") < 400)
     hits = get_extractor(provider)(judged.filter(good))
-    new_hits = hits.withColumn("seen_at", now)
+    new_hits = materialize(hits.withColumn("seen_at", now), "hits")  # feeds three outputs
     answered = results.join(cached, PAGE_KEY, "left_semi")
     counts = (
         answered.select(*PAGE_KEY).unionByName(new_hits.select(*PAGE_KEY)).groupBy(*PAGE_KEY).agg(F.count("*").alias("hits"))

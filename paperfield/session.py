@@ -55,3 +55,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_location(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like :func:`materialize`, bucketed by ``key`` into as many buckets as there are shuffle partitions.
+
+    A loop that joins the table on ``key`` again and again shuffles only its other side.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_location(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    spread = df.repartition(buckets, key)
+    spread.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table)

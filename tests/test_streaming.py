@@ -82,7 +82,7 @@ def test_ingest_over_batches_and_restart(spark, rows):
         hits = frame.schema
         if links:
             frame.write.mode("append").parquet(path)
-        out = ingest.ingest_stream(file_stream(spark, path, hits), HostRules(), lambda n: f"2024-05-0{n} 00:00:00", root)
-    assert rows(out.documents, "canonical_url", F.day("first_seen"), F.day("last_seen")) == [("https://a.gov/1.pdf", 1, 2), ("https://a.gov/2.pdf", 2, 2)]
-    assert rows(out.crawl_queue, "url", F.day("added_at")) == [("https://a.gov/p", 1)]
+        out = ingest.ingest_stream(file_stream(spark, path, hits), HostRules(), lambda n: f"2024-05-0{n + 1} 00:00:00", root)
+    assert rows(out.documents, "canonical_url", F.day("first_seen"), F.day("last_seen")) == [("https://a.gov/1.pdf", 2, 3), ("https://a.gov/2.pdf", 3, 3)]
+    assert rows(out.crawl_queue, "url", F.day("added_at")) == [("https://a.gov/p", 2)]
     assert out.download_queue.count() == 2
