@@ -91,10 +91,13 @@ def agency_hosts(agencies: DataFrame) -> DataFrame:
 
 
 def hosts_below(hosts: DataFrame, parents: DataFrame) -> DataFrame:
-    """The hosts that equal one of ``parents`` or lie below it, by an equi join on label suffixes."""
+    """The hosts that equal one of ``parents`` or lie below it, by an equi join on label suffixes.
+
+    A top-level label is a suffix of a large share of all hosts, hence the salted join.
+    """
     suffixes = hosts.select("host", F.explode(host_suffixes(F.col("host"))).alias("_suffix"))
     wanted = parents.select(F.col("host").alias("_suffix")).distinct()
-    return suffixes.join(wanted, "_suffix", "left_semi").select("host").distinct()
+    return lookup(suffixes, wanted, "_suffix", ["host"], "left_semi").select("host").distinct()
 
 
 def with_verdict(
@@ -129,7 +132,7 @@ def classify_hosts(hosts: DataFrame, patterns: DataFrame) -> DataFrame:
     names = hosts.select("host").distinct()
     suffixes = names.select("host", F.explode(host_suffixes(F.col("host"))).alias("_suffix"))
     literal = table.filter(~inner | (F.col("kind") == "extra")).select("kind", F.col("base").alias("_suffix"), "below_only")
-    hits = suffixes.join(literal, "_suffix").filter(~F.col("below_only") | (F.col("_suffix") != F.col("host")))
+    hits = lookup(suffixes, literal, "_suffix", ["host"], "inner").filter(~F.col("below_only") | (F.col("_suffix") != F.col("host")))
     flags = hits.groupBy("host").agg(
         *[F.bool_or(F.col("kind") == kind).alias(f"_{kind}") for kind in ("allow", "deny", "extra")]
     )

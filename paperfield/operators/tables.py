@@ -32,6 +32,14 @@ def new_rows(existing: DataFrame, batch: DataFrame, keys: Sequence[str], order:
     return first_per_key(batch, keys, order).join(existing.select(*keys), list(keys), "left_anti")
 
 
+def batch_counts(existing: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(accepted, created): rows of the batch, and keys that ``existing`` did not hold."""
+    created = batch.select(*keys).distinct().join(existing.select(*keys), list(keys), "left_anti")
+    counts = batch.agg(F.count("*").alias("accepted"), F.lit(0).cast("long").alias("created"))
+    both = counts.unionByName(created.agg(F.lit(0).cast("long").alias("accepted"), F.count("*").alias("created")))
+    return both.agg(F.sum("accepted").alias("accepted"), F.sum("created").alias("created"))
+
+
 def insert_new(existing: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First write wins."""
     fresh = new_rows(existing, batch, keys, order)

@@ -142,8 +142,12 @@ def crawl(
     urls: DataFrame | None = None,
     documents: DataFrame | None = None,
     extra_hosts: DataFrame | None = None,
+    queue: DataFrame | None = None,
 ) -> CrawlResult:
-    """Breadth-first expansion of ``frontier`` (url, priority) over a materialised link table."""
+    """Breadth-first expansion of ``frontier`` (url, priority, optional depth) over a written link table.
+
+    ``urls`` and ``documents`` count against the caps; addresses in ``queue`` are not enqueued anew.
+    """
     facts = materialize_bucketed(newest_facts(links), "facts", "request")
     bound = links.agg(
         F.count_if((F.col("pos").isNull() | (F.col("pos") == 1)) & (F.col("kind") == "html")).alias("pages"),
@@ -159,9 +163,11 @@ def crawl(
         if urls is not None
         else frontier.sparkSession.createDataFrame([], "domain string, final string")
     )
-    level = materialize(frontier.withColumn("depth", F.lit(0)), "frontier")
+    start = frontier if "depth" in frontier.columns else frontier.withColumn("depth", F.lit(0))
+    start = materialize(start.select("url", "priority", "depth"), "frontier")
     done: list[DataFrame] = []
-    seen = [level.select("url")]
+    seen = [start.select("url")] + ([queue.select("url")] if queue is not None else [])
+    level = start.filter(F.col("depth") == 0)
     depth = 0
     while True:
         judged = materialize(_judge(level, facts, robots_rules, options, known_pages if pages_may_reach_cap else None, done, now), f"level{depth}")
@@ -173,11 +179,10 @@ def crawl(
             followed.filter(~url_looks_like_pdf(F.col("link"))).select(F.col("link").alias("url")), ["url"], [F.col("url")]
         ).join(reduce(DataFrame.unionByName, seen), "url", "left_anti")
         depth += 1
-        level = materialize(
-            fresh.withColumns({"priority": F.lit(LINK_PRIORITY), "depth": F.lit(depth)}), "frontier"
-        )
-        seen.append(level.select("url"))
-        if not level.head(1):
+        found = materialize(fresh.withColumns({"priority": F.lit(LINK_PRIORITY), "depth": F.lit(depth)}), "frontier")
+        seen.append(found.select("url"))
+        level = found.unionByName(start.filter(F.col("depth") == depth))
+        if not found.head(1) and not start.filter(F.col("depth") >= depth).head(1):
             break
     everything = reduce(DataFrame.unionByName, done)
     followed = _follow(everything.filter(F.col("depth") < options.max_depth), edges, options, extra_hosts)
