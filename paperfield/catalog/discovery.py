@@ -162,7 +162,7 @@ def ingest_tables(spark, folder):
 )
 def search_step(spark, folder):
     """One step of the search plan: cached, answered, throttled and failed pages."""
-    pages = _result_pages(spark, folder)
+    pages = materialize(_result_pages(spark, folder), "captured")
     searches = tables.align(pages.select("provider", "query", "page"), schemas.SEARCHES, status=F.lit("pending"), attempts=F.lit(0))
     stored = tables.align(pages.filter("page % 10 = 7").select("provider", "query", "page"), schemas.SEARCH_RESULTS, url=F.lit("https://a.gov"), pos=F.lit(1))
     after, _, _ = discovery.fetch_step(searches, stored, pages, now())
@@ -209,3 +209,24 @@ def crawl_seeds(spark, folder):
     active = _agencies(spark, folder).filter("active")
     frontier = seed_frontier(agency_seeds(active), HostRules(allowed=("none.invalid",)), policy.agency_hosts(_agencies(spark, folder)))
     return frontier.select("url", F.col("priority").cast("bigint").alias("priority"))
+
+
+@query(
+    """with old as (select distinct user_id, event_type from events where event_id % 4 = 0)
+    select (select count(*) from events) as accepted, (select count(*) from (select distinct user_id, event_type from events) anti join old using (user_id, event_type)) as created"""
+)
+def accepted_created(spark, folder):
+    """Rows a batch was accepted with, and keys it created."""
+    events = table(spark, folder, "events").select("user_id", "event_type", "event_id")
+    key = ["user_id", "event_type"]
+    old = tables.insert_new(events.limit(0), events.filter("event_id % 4 = 0"), key, [F.col("event_id")])
+    return tables.batch_counts(old, events, key)
+
+
+@query("select 'q ' || source as query, doc_id as page, case when doc_id % 10 in (3, 7) then 'cached' else 'fetch' end as source from documents where doc_id % 9 <> 0")
+def cache_split(spark, folder):
+    """Due pages answered by stored results, and those to fetch."""
+    pages = table(spark, folder, "documents").select(F.lit("yahoo").alias("provider"), F.concat(F.lit("q "), "source").alias("query"), F.col("doc_id").alias("page"))
+    hits = pages.filter("page % 10 in (3, 7)").withColumn("pos", F.explode(F.sequence(F.lit(1), F.lit(4))))
+    cached, to_fetch = discovery.split_by_cache(pages.filter("page % 9 <> 0"), hits)
+    return cached.select("query", "page", F.lit("cached").alias("source")).unionByName(to_fetch.select("query", "page", F.lit("fetch").alias("source")))

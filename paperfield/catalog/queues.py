@@ -15,6 +15,7 @@ from paperfield.catalog.registry import (
     search_pages,
     table,
 )
+from paperfield.functions.retry import DOWNLOAD_LEASE_SECONDS
 from paperfield.functions.urls import canonical_url, domain_of
 from paperfield.operators import queues, status
 from paperfield.operators.tables import align
@@ -224,3 +225,25 @@ def domain_counts(spark, folder):
     pages = _page_jobs(spark, folder).withColumn("url_type", F.when(F.col("page_id") % 5 != 0, "html").otherwise("pdf"))
     docs = table(spark, folder, "documents").select(F.concat("source", F.lit(".example.gov")).alias("domain"))
     return status.domain_counts(pages, docs)
+
+
+@query(
+    f"""with {CRAWL_JOBS} select url as canonical_url, case when {_DUE} then 'downloading' when status = 'processing' then 'downloading' when status = 'completed' then 'complete' else status end as download_status from jobs"""
+)
+def downloads_claimed(spark, folder):
+    """Documents once every due download job was claimed."""
+    queue, docs = _downloads(spark, folder)
+    order = [F.col("added_at"), F.col("canonical_url")]
+    claimed = queues.claim_all(queue, now(), order, 16, DOWNLOAD_LEASE_SECONDS)
+    return queues.mark_downloading(docs, claimed).select("canonical_url", "download_status")
+
+
+@query(
+    f"""with {SEARCH_PAGES} select query, page, 'running' as status, cast(attempts + 1 as bigint) as attempts, {_T} as started_at from searches
+    where status in ('pending','backoff') and (next_attempt is null or next_attempt <= {_T})"""
+)
+def searches_running(spark, folder):
+    """Due result pages once they were taken up."""
+    due = queues.due_jobs(search_pages(spark, folder), now(), queues.WAITING_SEARCHES)
+    running = queues.mark_running(due, now())
+    return running.select("query", F.col("page").cast("bigint").alias("page"), "status", F.col("attempts").cast("bigint").alias("attempts"), plain("started_at"))
