@@ -41,7 +41,7 @@ def main() -> None:
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
     spark.stop()
-    scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    scale = float(os.path.basename(folder.rstrip("/")).removeprefix("sf"))
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": scale}))
 
 

@@ -73,8 +73,8 @@ def plan_new_rows(spark, folder):
     active = _agencies(spark, folder).filter("active")
     earlier = discovery.plan_searches(active.filter("state <> 'NATION_3'"), "yahoo", 3)
     plan = discovery.plan_searches(active, "yahoo")
-    fresh = tables.new_rows(earlier, plan, discovery.PAGE_KEY, [F.col("status")])
-    return plan.agg(F.count("*").alias("planned")).crossJoin(fresh.agg(F.count("*").alias("created")))
+    counts = tables.batch_counts(earlier, plan, discovery.PAGE_KEY)
+    return counts.select(F.col("accepted").alias("planned"), "created")
 
 
 @query(

@@ -16,7 +16,7 @@ from paperfield.plans import crawl as crawl_plan
 from paperfield.plans import discovery
 from paperfield.plans.download import download_step
 from paperfield.plans.resume import resume
-from paperfield.session import materialize, materialize_bucketed
+from paperfield.session import materialize
 from paperfield.sources import readers, writers
 
 TABLES = {
@@ -119,7 +119,7 @@ class DocumentIndex:
         answered = responses.filter(F.lower("request_url").endswith("/robots.txt"))
         hosts = answered.select(crawl_plan.domain_of(F.col("request_url")).alias("host"))
         cache = materialize(robots.fill_cache(hosts, answered, self.table("robots")), "robots")
-        links = materialize_bucketed(crawl_plan.link_table(responses), "links", "request")
+        links = materialize(crawl_plan.link_table(responses), "links")
         result = crawl_plan.crawl(
             queues.due_jobs(queue, now), links, robots.host_rules(cache, agent), options, now,
             self.table("urls"), self.table("documents"), extra, queue,

@@ -31,12 +31,14 @@ def _expired(events: DataFrame, horizon: Column, lease_seconds: int) -> DataFram
 
 def expired_leases(events: DataFrame, delay_seconds: int = 0, lease_seconds: int = CRAWL_LEASE_SECONDS) -> DataFrame:
     """Batch form over events (job, ts, event_id, kind), kind ``claim`` or anything else."""
-    horizon = events.agg(F.max("ts").alias("_max"))
-    judged = _expired(events, F.lit(None).cast("timestamp"), lease_seconds).filter(F.col("locked_until").isNotNull())
-    end = F.broadcast(horizon)  # one row
-    joined = judged.crossJoin(end)
-    over = F.col("locked_until") < F.coalesce("next_ts", F.col("_max") - F.make_dt_interval(secs=F.lit(delay_seconds)))
-    return joined.filter(over).select("job", F.col("ts").alias("claimed_at"), "locked_until")
+    judged = _expired(events, _horizon(events, delay_seconds), lease_seconds).filter("expired")
+    return judged.select("job", F.col("ts").alias("claimed_at"), "locked_until")
+
+
+def _horizon(events: DataFrame, delay_seconds: int) -> Column:
+    """Event time reached, less the delay; one value."""
+    latest = events.agg(F.max("ts")).first()[0]
+    return F.lit(latest).cast("timestamp") - F.make_dt_interval(secs=F.lit(delay_seconds))
 
 
 def expired_leases_stream(
@@ -50,9 +52,7 @@ def expired_leases_stream(
 
     def handle(batch: DataFrame, number: int) -> None:
         events = batch.select(*_EVENT.names).unionByName(state.version(number - 1))
-        latest = events.agg(F.max("ts")).first()[0]  # one value: event time so far
-        horizon = F.lit(latest).cast("timestamp") - F.make_dt_interval(secs=F.lit(delay_seconds))
-        judged = _expired(events, horizon, lease_seconds)
+        judged = _expired(events, _horizon(events, delay_seconds), lease_seconds)
         out.write(judged.filter("expired").select("job", F.col("ts").alias("claimed_at"), "locked_until"), number)
         kind = F.when(F.col("expired"), "released").otherwise(F.col("kind"))
         last = F.max_by(F.struct("ts", "event_id", kind.alias("kind")), F.struct("ts", "event_id")).alias("_last")
