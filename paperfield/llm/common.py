@@ -86,19 +86,23 @@ def utf8(column: str) -> Column:
     return F.encode(F.coalesce(F.col(column), F.lit("")), "UTF-8")
 
 
-def numbered(docs: DataFrame, *columns: str) -> DataFrame:
-    """``docs`` cut to doc_id and ``columns``, with a unique ``_id`` that orders rows as (doc_id, text) does, null first.
+def numbered(docs: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame | None]:
+    """(_id, *columns) with a unique ``_id`` in the order of (doc_id, columns), null first, and the names of the ids.
 
-    Where doc_id is unique and never null, ``_id`` is doc_id. Else equal rows become one and ``_n`` counts them.
+    Where doc_id is unique and never null, ``_id`` is doc_id and there are no names. Else equal rows become one.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *columns)
     twice = docs.groupBy("doc_id").count().filter((F.col("count") > 1) | F.col("doc_id").isNull())
     if twice.isEmpty():
-        return docs.withColumns({"_id": F.col("doc_id"), "_n": F.lit(1)})
+        return docs.withColumnRenamed("doc_id", "_id"), None
     one = docs.groupBy(*docs.columns).agg(F.count("*").cast("int").alias("_n"))
-    return materialize(one.orderBy("doc_id", *columns).withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    rows = materialize(one.orderBy("doc_id", *columns).withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    return rows.select("_id", *columns), rows.select("_id", "doc_id", "_n")
 
 
-def repeated(df: DataFrame) -> DataFrame:
-    """Rows as often as ``_n`` says."""
-    return df.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_k", "_n", "_id")
+def named(result: DataFrame, names: DataFrame | None) -> DataFrame:
+    """The result of :func:`numbered` rows with doc_id in place of ``_id``, as often as the row occurred."""
+    if names is None:
+        return result.withColumnRenamed("_id", "doc_id")
+    again = result.join(names, "_id").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    return again.select("doc_id", *[c for c in result.columns if c != "_id"])

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paperfield.llm.minhash import NearDuplicates, near_duplicates
+from paperfield.llm.suffixdedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,3 +27,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), NearDuplicates(shingle=3, percent=85))
+
+
+@query
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeats(table(spark, folder, "documents"))
+    removed = (F.col("n_bytes") - F.length("kept")).alias("n_removed")
+    return found.select("doc_id", "n_bytes", removed, F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
