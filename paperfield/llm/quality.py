@@ -27,7 +27,7 @@ class Training:
     """Bounds of the fit: at most about ``sample`` labelled rows, drawn evenly from both classes by a hash of doc_id."""
 
     sample: int = 3000
-    epochs: int = 12
+    steps: int = 560
     rate: float = 0.004
     batch: int = 64
     seed: int = 5
@@ -115,20 +115,18 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, training: Training) -> Netw
     """A network fitted with Adam; both classes weigh as they occur in the sample."""
     network, random = Network(training.seed), np.random.default_rng(training.seed)
     moments = {k: [np.zeros_like(v, np.float64), np.zeros_like(v, np.float64)] for k, v in network.weights.items()}
-    step = 0
-    total = training.epochs * max(1, -(-len(texts) // training.batch))
-    for _ in range(training.epochs):
-        order = random.permutation(len(texts))
-        for low in range(0, len(order), training.batch):
-            rows = order[low : low + training.batch]
-            step += 1
-            rate = training.rate * (1 - 0.9 * step / total)
-            for k, g in network.gradients([texts[i] for i in rows], labels[rows]).items():
-                m, v = moments[k]
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                change = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-7)
-                network.weights[k] -= change.astype(np.float32)
+    order = np.zeros(0, np.int64)
+    for step in range(1, training.steps + 1):
+        if len(order) < training.batch:
+            order = np.append(order, random.permutation(len(texts)))
+        rows, order = order[: training.batch], order[training.batch :]
+        rate = training.rate * (1 - 0.9 * step / training.steps)
+        for k, g in network.gradients([texts[i] for i in rows], labels[rows]).items():
+            m, v = moments[k]
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            change = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-7)
+            network.weights[k] -= change.astype(np.float32)
     return network
 
 
@@ -160,7 +158,6 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, training: Training
                 found += [(ids[first + i], data[s : s + n].tobytes(), ys[first + i]) for i, (s, n) in enumerate(zip(starts, sizes))]
         found.sort()
         if found:
-            # The weight of each class is that of all labelled rows, by the unit's base after a balanced fit.
             model = fit([np.frombuffer(t, np.uint8) for _, t, _ in found], np.array([y for *_, y in found], np.float32), training)
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model.weights)], pa.binary())], ["model"])
 

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperfield.llm import langid, packing, quality
+from paperfield.llm.decontam import contamination, is_contaminated
+from paperfield.llm.kdshard import shard_documents
 from paperfield.llm.minhash import NearDuplicates, near_duplicates
+from paperfield.llm.simhash import fingerprint_documents
 from paperfield.llm.suffixdedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +29,38 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_min_bin_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
+    found = packing.pieces(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return found.drop("ids")
+
+
+def _fold(folds: int) -> F.Column:
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds
+
+
+@query
+def op2_language_filters(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    trained = langid.train(docs, _fold(4) != 2)
+    found = langid.identify(docs.select("doc_id", "text"), trained)
+    return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+@query
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = fingerprint_documents(table(spark, folder, "documents"))
+    return found.withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256)).drop("edited")
+
+
+@query
+def op4_quality_network(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    found = quality.score(docs, model)
+    return found.select("doc_id", (_fold(5) == 0).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), NearDuplicates(shingle=3, percent=85))
@@ -34,3 +71,32 @@ def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = remove_repeats(table(spark, folder, "documents"))
     removed = (F.col("n_bytes") - F.length("kept")).alias("n_removed")
     return found.select("doc_id", "n_bytes", removed, F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op9_benchmark_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    ids = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), ids, is_contaminated().alias("contaminated"))
+
+
+_GAP = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLES["op9_benchmark_contamination"] = f"""with d as (select doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '{_GAP}') as w from documents),
+  i as (select item_id, regexp_extract_all(coalesce({_LOWER}, ''), '{_GAP}') as w from benchmark),
+  iw as (select item_id, unnest(range(1, greatest(len(w) - 11, 2))) as pos, least(len(w), 13) as n, w from i where len(w) > 0),
+  win as (select distinct item_id, n, array_to_string(w[pos:pos + n - 1], ' ') as s from iw),
+  dn as (select doc_id, n, w from d, (select distinct n from win) where len(w) >= n),
+  dw as (select doc_id, n, unnest(range(1, len(w) - n + 2)) as pos, w from dn),
+  ds as (select doc_id, n, pos, array_to_string(w[pos:pos + n - 1], ' ') as s from dw),
+  hit as (select doc_id, item_id, n, pos from ds join win using (n, s)),
+  cover as (select doc_id, count(distinct pos + k) as n_hit from (select doc_id, pos, unnest(range(0, n)) as k from hit) group by doc_id),
+  items as (select doc_id, count(distinct item_id) as n_items, array_to_string(list_sort(list(distinct cast(item_id as varchar))), ',') as ids from hit group by doc_id)
+  select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+    coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+  from d left join cover using (doc_id) left join items using (doc_id)"""
+
+
+@query
+def op10_kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_documents(table(spark, folder, "documents"), shards=40)
