@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperfield.llm import langid, packing, quality
+from paperfield.llm import langid, packing, quality, warczip
 from paperfield.llm.decontam import contamination, is_contaminated
 from paperfield.llm.kdshard import shard_documents
 from paperfield.llm.minhash import NearDuplicates, near_duplicates
 from paperfield.llm.simhash import fingerprint_documents
 from paperfield.llm.suffixdedup import remove_repeats
+from paperfield.llm.urlfilter import listed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,6 +67,56 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), NearDuplicates(shingle=3, percent=85))
 
 
+def _draw(column: str, salt: str, parts: int) -> F.Column:
+    return F.conv(F.substring(F.md5(F.concat(F.lit(salt), F.col(column))), 1, 6), 16, 10).cast("int") % parts
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries of five lists over what the pages have: hosts, their parent domains, and first folders of paths.
+
+    Each is added, removed and added again on days drawn from its name.
+    """
+    host = F.lower(F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1))
+    folder = F.regexp_extract("url", "^[a-z]+://[^/?#]*/([^/?#]+)", 1)
+    named = pages.select(host.alias("host"), F.when(folder != "", F.concat(host, F.lit("/"), F.lower(folder))).alias("folder"), F.regexp_replace(host, "^[^.]*[.]", "").alias("domain"))
+    patterns = named.select(F.explode(F.array("host", "folder", "domain")).alias("pattern")).filter("pattern <> ''").distinct()
+    first = F.date_add(F.lit("2024-01-01").cast("date"), _draw("pattern", "a", 300))
+    after = F.date_add(first, 1 + _draw("pattern", "b", 60))
+    again = F.date_add(after, _draw("pattern", "c", 40))
+    events = [F.struct(F.lit(action).alias("action"), day.alias("day")) for action, day in (("add", first), ("remove", after), ("add", again))]
+    kept = patterns.filter(_draw("pattern", "d", 3) > 0).withColumn("list", F.concat(F.lit("list"), _draw("pattern", "e", 5)))
+    return kept.select("list", "pattern", F.explode(F.array(*events)).alias("e")).select("list", "pattern", "e.*")
+
+
+@query
+def op6_temporal_url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 366).cast("int"))
+    found = listed(pages.select(F.col("page_id").alias("capture_id"), "url", day.alias("day")), list_entries(pages))
+    joined = [F.array_join(c, ",").alias(c) for c in ("lists", "patterns")]
+    return found.select(F.col("capture_id").alias("page_id"), "n_lists", *joined, F.col("since").cast("string").alias("since"))
+
+
+_HEX = "cast('0x' || substr(md5('{}' || pattern), 1, 6) as integer) % {}"
+ORACLES["op6_temporal_url_lists"] = f"""with p as (select page_id, url, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) as host,
+    lower(regexp_extract(url, '^[a-z]+://[^/?#]*/([^/?#]+)', 1)) as folder, lower(regexp_extract(url, '^[a-z]+://[^/?#]*/*([^?#]*)', 1)) as path,
+    date '2024-01-01' + cast(page_id % 366 as integer) as day from pages),
+  pat as (select distinct pattern from (select host as pattern from p union all select case when folder <> '' then host || '/' || folder end from p
+    union all select regexp_replace(host, '^[^.]*[.]', '') from p) where pattern <> ''),
+  lst as (select pattern, 'list' || {_HEX.format("e", 5)} as list, date '2024-01-01' + {_HEX.format("a", 300)} as d1, 1 + {_HEX.format("b", 60)} as n2, {_HEX.format("c", 40)} as n3
+    from pat where {_HEX.format("d", 3)} > 0),
+  val as (select pattern, list, d1 as f, d1 + n2 as t from lst
+    union all select pattern, list, d1 + n2 + n3, null from lst where n3 > 0),
+  keys as (select page_id, day, unnest(list_distinct(list_concat(
+      list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.')),
+      list_transform(range(1, len(list_filter(string_split(path, '/'), lambda x: x <> '')) + 1),
+        lambda i: host || '/' || array_to_string(list_filter(string_split(path, '/'), lambda x: x <> '')[1:i], '/'))))) as key from p),
+  hit as (select page_id, list, key, f from keys join val on key = pattern and day >= f and (t is null or day < t))
+  select page_id, count(distinct list) as n_lists, coalesce(array_to_string(list_sort(list(distinct list) filter (list is not null)), ','), '') as lists,
+    coalesce(array_to_string(list_sort(list(distinct key) filter (key is not null)), ','), '') as patterns, cast(min(f) as varchar) as since
+  from p left join hit using (page_id) group by page_id"""
+
+
 @query
 def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = remove_repeats(table(spark, folder, "documents"))
@@ -73,6 +124,20 @@ def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", removed, F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op8_zip_packaged_warc(spark: SparkSession, folder: str) -> DataFrame:
+    packages, place = warczip.archive(table(spark, folder, "pages"))
+    found = warczip.read_archive(packages, place, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op8_zip_packaged_warc"] = """with p as (select page_id, encode(coalesce(html, '')) as b from pages),
+  q as (select page_id, octet_length(b) as n, sha256(b) as d from p),
+  f as (select d, min(page_id) as least from q where n >= 100 group by d)
+  select page_id, n as payload_bytes, d as payload_digest, case when n >= 100 and page_id <> least then 'revisit' else 'response' end as record_type,
+    case when n >= 100 and page_id <> least then least end as refers_to from q left join f using (d)"""
+
+
 @query
 def op9_benchmark_contamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
