@@ -263,7 +263,7 @@ def spread_spans(regions: DataFrame, length: int) -> DataFrame:
     return later.select("at.doc", "at.start", (F.col("at.start") + length).alias("end"))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iterator[pa.RecordBatch]:
     """(_id, data, spans) to (_id, n_bytes, spans, kept): spans merged and cut out of the bytes."""
     for batch in batches:
         for first, last, data, starts, sizes in text_blocks(batch.column(1)):
@@ -281,6 +281,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(gone, starts[doc] + low, 1)
             np.add.at(gone, starts[doc] + high, -1)
             stay = np.cumsum(gone)[:-1] == 0
+            if whole_characters and not stay.all():
+                lead = np.flatnonzero((data & 0xC0) != 0x80)
+                stay = np.repeat(np.logical_and.reduceat(stay, lead), np.diff(lead, append=len(data)))
             left = np.concatenate([[0], np.cumsum(stay)])
             kept = left[starts + sizes] - left[starts]
             bounds = np.append(0, np.cumsum(kept))
@@ -290,12 +293,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(sizes), runs, content.cast(pa.binary())], ["_id", "n_bytes", "spans", "kept"])
 
 
-def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, whole_characters: bool = False) -> DataFrame:
     """(doc_id, n_bytes, spans, kept): each text's UTF-8 bytes without those in a string that occurs earlier.
 
     A string of ``length`` bytes occurs earlier if an equal one starts in a document of smaller doc_id, or in the same
     document before it. ``spans`` are the maximal removed runs as [start, end), ``kept`` the other bytes in order. Null
-    texts are empty; texts shorter than ``length`` stay whole. Rows with a null doc_id come first, rows of one doc_id
+    texts are empty. With ``whole_characters``, ``kept`` also lacks the rest of a character that a span cuts, and is
+    valid UTF-8. Texts shorter than ``length`` stay whole. Rows with a null doc_id come first, rows of one doc_id
     in the order of their texts; equal rows count as one and have the same result. Other columns are ignored.
 
     Every string has an anchor chosen by its content, so equal strings meet by their anchors' hashes. What is equal
@@ -319,4 +323,5 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     none = F.array().cast("array<struct<start:long,end:long>>")
     every = F.concat(F.coalesce(settled, none), F.coalesce("more", none)).alias("spans")
     whole = texts.join(items, "doc", "left").join(more, "doc", "left").select(F.col("doc").alias("_id"), "data", every)
-    return named(whole.mapInArrow(_cut, "_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"), names)
+    cut = whole.mapInArrow(lambda batches: _cut(batches, whole_characters), "_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return named(cut, names)
