@@ -38,7 +38,7 @@ def duplicate_bodies(spark, folder):
 @query("""select sha256(text) as sha256, any_value(text) as body, count(*) as copies from documents group by 1""")
 def unique_bodies(spark, folder):
     """Content of every digest once."""
-    return bodies.unique_bodies(document_rows(spark, folder)).withColumn("body", F.col("body").cast("string"))
+    return bodies.unique_bodies(document_rows(spark, folder), key="doc_id").withColumn("body", F.col("body").cast("string"))
 
 
 @query(
@@ -280,6 +280,6 @@ def failure_fold(spark, folder):
 def body_store(spark, folder):
     """The content-addressed body table, written and read back."""
     path = new_location(spark, "bodies")
-    writers.write_bodies(bodies.unique_bodies(document_rows(spark, folder)).drop("copies"), path)
+    writers.write_bodies(bodies.unique_bodies(document_rows(spark, folder), key="doc_id").drop("copies"), path)
     back = spark.read.schema("sha256 string, body binary, p1 string, p2 string").parquet(path)
     return back.select("sha256", "p1", "p2", F.col("body").cast("string").alias("body"))

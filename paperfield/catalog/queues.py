@@ -60,7 +60,7 @@ def _claimed(rows):
 def claim_batch(spark, folder):
     """Twenty jobs for each of sixteen workers."""
     jobs = crawl_jobs(spark, folder)
-    return _claimed(queues.claim(jobs, "url", now(), queues.crawl_order(), 16, 20))
+    return _claimed(queues.claim(jobs, now(), queues.crawl_order(), 16, 20))
 
 
 @query(_CLAIM)

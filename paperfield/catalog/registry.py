@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from paperfield import schemas
 from paperfield.operators.policy import HostRules
 from paperfield.operators.tables import align
-from paperfield.sources.readers import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,11 +39,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The same, over all cores even when the table is one small file."""
-    return spread(table(spark, folder, name))
-
-
 def now() -> Column:
     return F.lit(NOW).cast("timestamp")
 

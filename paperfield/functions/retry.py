@@ -35,6 +35,11 @@ def plus_seconds(ts: Column, seconds: Column) -> Column:
     return F.to_timestamp(ts) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
+def crawl_retry_at(url: Column, attempts: Column, retry_after: Column, at: Column) -> Column:
+    """When a throttled crawl job is due again: after Retry-After, or the back-off of its attempts."""
+    return plus_seconds(at, F.coalesce(retry_after.cast("double"), backoff_seconds(url, attempts)))
+
+
 def is_due(next_attempt: Column, now: Column) -> Column:
     return next_attempt.isNull() | (next_attempt <= now)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from paperfield import schemas
 from paperfield.functions.urls import canonical_url, domain_of
@@ -30,7 +30,7 @@ def prepare_agencies(records: DataFrame, now: Column) -> DataFrame:
     """
     url = canonical_url(F.col("official_url"))
     cleaned = records.withColumn("official_url", url).filter(F.col("official_url") != "")
-    order = [StructField("pos", LongType())] if "pos" in records.columns else []
+    order = [records.schema["pos"]] if "pos" in records.columns else []
     return align(
         cleaned.withColumn("domain", domain_of(F.col("official_url")))
         .withColumn("source", F.coalesce("source", F.lit(DEFAULT_SOURCE)))

@@ -62,20 +62,23 @@ def finalise_bodies(
     )
 
 
-def unique_bodies(bodies: DataFrame, body: str = "body") -> DataFrame:
-    """One row per digest: (sha256, body, copies).  Copies collapse before the shuffle."""
-    hashed = bodies.select(sha256_hex(F.col(body)).alias("sha256"), F.col(body).alias("body"))
-    return hashed.groupBy("sha256").agg(F.any_value("body").alias("body"), F.count("*").alias("copies"))
+def unique_bodies(bodies: DataFrame, body: str = "body", key: str = "canonical_url") -> DataFrame:
+    """One row per digest: (sha256, body, copies).
+
+    Digests are counted without the bodies; only the body of the smallest ``key`` of each is moved.
+    """
+    hashed = bodies.select(F.col(key).alias("_key"), sha256_hex(F.col(body)).alias("sha256"), F.col(body).alias("body"))
+    chosen = hashed.groupBy("sha256").agg(F.min("_key").alias("_key"), F.count("*").alias("copies"))
+    return hashed.join(chosen, ["_key", "sha256"]).dropDuplicates(["sha256"]).select("sha256", "body", "copies")
 
 
-def number_collisions(files: DataFrame, plain_rows: int | None = None) -> DataFrame:
+def number_collisions(files: DataFrame) -> DataFrame:
     """Final name of every (dest, digest): equal digests share one, others are numbered from 2.
 
     Input: dest, sha256, arrived (a total order).  Digests are numbered by first arrival.  A plain
     name that looks like a numbered one is not taken into account.
     """
     firsts = files.groupBy("dest", "sha256").agg(F.min("arrived").alias("arrived"))
-    limit = {} if plain_rows is None else {"plain_rows": plain_rows}
-    ranked = rank_within(firsts, ["dest"], [F.col("arrived"), F.col("sha256")], "copy_no", **limit)
+    ranked = rank_within(firsts, ["dest"], [F.col("arrived"), F.col("sha256")], "copy_no")
     name = F.when(F.col("copy_no") == 1, F.col("dest")).otherwise(collision_name(F.col("dest"), F.col("copy_no")))
     return ranked.withColumn("final_path", name)

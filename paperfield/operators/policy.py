@@ -6,8 +6,10 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from paperfield.functions.urls import domain_of, host_suffixes, policy_host
 from paperfield.operators.skew import lookup
@@ -28,8 +30,6 @@ DEFAULT_DENIED = (
 )
 # ----------------------------------------------------------------------------------------------
 
-MAX_FOLDED_PATTERNS = 10_000
-
 
 @dataclass(frozen=True)
 class HostRules:
@@ -93,11 +93,11 @@ def agency_hosts(agencies: DataFrame) -> DataFrame:
 def hosts_below(hosts: DataFrame, parents: DataFrame) -> DataFrame:
     """The hosts that equal one of ``parents`` or lie below it, by an equi join on label suffixes.
 
-    A top-level label is a suffix of a large share of all hosts, hence the salted join.
+    A top-level label is a suffix of a large share of all hosts, so Spark splits it.
     """
     suffixes = hosts.select("host", F.explode(host_suffixes(F.col("host"))).alias("_suffix"))
     wanted = parents.select(F.col("host").alias("_suffix")).distinct()
-    return lookup(suffixes, wanted, "_suffix", ["host"], "left_semi").select("host").distinct()
+    return lookup(suffixes, wanted, "_suffix", "left_semi").select("host").distinct()
 
 
 def with_verdict(
@@ -106,42 +106,52 @@ def with_verdict(
     """Add the policy verdict on the host of column ``url``.
 
     The pattern lists are folded into one expression.  A table of extra hosts is matched on the
-    distinct hosts only and looked up again with salted keys.
+    distinct hosts only and looked up again.
     """
     if extra_hosts is None:
         return df.withColumn(out, rules.verdict(domain_of(F.col(url))))
     hosted = df.withColumn("host", domain_of(F.col(url)))
     hits = hosts_below(hosted.select("host").distinct(), extra_hosts).withColumn("_extra", F.lit(True))
-    joined = lookup(hosted, hits, "host", [url])
+    joined = lookup(hosted, hits, "host")
     return joined.withColumn(out, rules.verdict(F.col("host"), F.col("_extra"))).select(*df.columns, out)
 
 
+@F.pandas_udf(StringType())
+def _regex_of(patterns: pd.Series) -> pd.Series:
+    """Regular expressions of a column of patterns; runs over the pattern table only."""
+    return patterns.map(lambda p: rf"(?s)\A(?:{pattern_regex(p)})\z", na_action="ignore")
+
+
 def classify_hosts(hosts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Verdict per host from a table of (kind, pattern), kind being allow, deny or extra.
+    """Verdict per host from a table of (kind, pattern), kind being allow, deny or extra, of any size.
 
-    Literal patterns, however many, are matched by an equi join on label suffixes.  Only patterns
-    with inner wildcards are folded into an expression; their number is checked first.
+    Literal patterns are matched by an equi join on label suffixes.  A pattern with inner wildcards
+    meets the hosts that share its labels after the last wildcard, or else its longest whole label,
+    and is then tried as an expression.  Only patterns without any whole label, such as ``w*w``,
+    must be tried on every host.
     """
     text = F.lower(F.trim("pattern"))
     base = F.regexp_replace(text, r"^\*\.", "")
     table = patterns.select("kind", text.alias("text"), base.alias("base"), text.startswith("*.").alias("below_only")).distinct()
-    inner = F.contains(F.col("base"), F.lit("*")) | (F.col("below_only") & F.col("base").rlike(r"[?\[]"))
-    folded = table.filter(inner & (F.col("kind") != "extra")).select("kind", "text").limit(MAX_FOLDED_PATTERNS + 1).collect()
-    if len(folded) > MAX_FOLDED_PATTERNS:
-        raise ValueError(f"more than {MAX_FOLDED_PATTERNS} patterns with inner wildcards")
+    inner = (F.contains(F.col("base"), F.lit("*")) | (F.col("below_only") & F.col("base").rlike(r"[?\[]"))) & (F.col("kind") != "extra")
     names = hosts.select("host").distinct()
     suffixes = names.select("host", F.explode(host_suffixes(F.col("host"))).alias("_suffix"))
-    literal = table.filter(~inner | (F.col("kind") == "extra")).select("kind", F.col("base").alias("_suffix"), "below_only")
-    hits = lookup(suffixes, literal, "_suffix", ["host"], "inner").filter(~F.col("below_only") | (F.col("_suffix") != F.col("host")))
-    flags = hits.groupBy("host").agg(
+    literal = table.filter(~inner).select("kind", F.col("base").alias("_suffix"), "below_only")
+    hits = lookup(suffixes, literal, "_suffix", "inner").filter(~F.col("below_only") | (F.col("_suffix") != F.col("host")))
+
+    tail = F.regexp_extract("text", r"\.([^*?\[\].]+(?:\.[^*?\[\].]+)*)$", 1)
+    labels = F.filter(F.split("text", r"\."), lambda x: ~x.rlike(r"[*?\[\]]") & (x != ""))
+    longest = F.array_max(F.transform(labels, lambda x: F.struct(F.length(x).alias("n"), x.alias("label"))))["label"]
+    plain = F.when(F.contains(F.col("text"), F.lit("[")), None).otherwise(longest)  # a bracket may hold dots
+    key = F.when(tail != "", F.concat(F.lit("."), tail)).otherwise(F.coalesce(plain, F.lit("")))
+    wild = table.filter(inner).select("kind", _regex_of("text").alias("_regex"), key.alias("_key"))
+    ends = F.transform(host_suffixes(F.col("host")), lambda s: F.concat(F.lit("."), s))
+    parts = names.select("host", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), ends, F.split("host", r"\.")))).alias("_key"))
+    tried = lookup(parts, wild, "_key", "inner").filter(F.rlike(F.col("host"), F.col("_regex")))
+    flags = hits.select("host", "kind").unionByName(tried.select("host", "kind")).groupBy("host").agg(
         *[F.bool_or(F.col("kind") == kind).alias(f"_{kind}") for kind in ("allow", "deny", "extra")]
     )
-
-    def flag(kind: str) -> Column:
-        return F.coalesce(F.col(f"_{kind}"), F.lit(False)) | matches_any(
-            F.col("host"), [r.text for r in folded if r.kind == kind]
-        )
-
+    flag = lambda kind: F.coalesce(F.col(f"_{kind}"), F.lit(False))
     return names.join(flags, "host", "left").select(
         "host", ((F.col("host") != "") & ~flag("deny") & (flag("extra") | flag("allow"))).alias("allowed")
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperfield.functions.content import DOWNLOAD_ERROR_LIMIT, SEARCH_ERROR_LIMIT, cut
@@ -18,6 +18,7 @@ from paperfield.functions.retry import (
     SEARCH_BACKOFF_BASE,
     SEARCH_BACKOFF_CAP,
     backoff_seconds,
+    crawl_retry_at,
     is_due,
     is_throttled,
     lease_expired,
@@ -25,8 +26,6 @@ from paperfield.functions.retry import (
 )
 from paperfield.operators.skew import first_per_key, lookup, rank_within
 
-MAX_CLAIM = 100_000
-
 WAITING_SEARCHES = ("pending", "backoff")
 CRAWL_ORDER = (F.desc, "priority"), (F.asc, "added_at"), (F.asc, "url")
 
@@ -61,30 +60,20 @@ def next_page_per_query(searches: DataFrame, now: Column) -> DataFrame:
 
 
 def claim(
-    queue: DataFrame,
-    key: str,
-    now: Column,
-    order: Sequence[Column],
-    workers: int,
-    per_worker: int,
-    lease_seconds: int = CRAWL_LEASE_SECONDS,
+    queue: DataFrame, now: Column, order: Sequence[Column], workers: int, per_worker: int, lease_seconds: int = CRAWL_LEASE_SECONDS
 ) -> DataFrame:
     """Lease the first ``workers * per_worker`` due jobs, dealt to the workers in turn.
 
-    Returns the claimed rows in their new state.  The batch is bounded by its arguments, so it may
-    be numbered in one task; see :func:`claim_all` for the whole queue.
+    Returns the claimed rows in their new state.
     """
-    if workers * per_worker > MAX_CLAIM:
-        raise ValueError(f"a claim holds at most {MAX_CLAIM} jobs; use claim_all")
-    top = next_jobs(queue, now, order, workers * per_worker)
-    numbered = top.withColumn("_rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
-    return _leased(numbered, now, workers, lease_seconds).drop("_rank")
+    ranked = rank_within(due_jobs(queue, now), [], order, "_rank").filter(F.col("_rank") <= workers * per_worker)
+    return _leased(ranked, now, workers, lease_seconds).drop("_rank")
 
 
 def claim_all(
     queue: DataFrame, now: Column, order: Sequence[Column], workers: int, lease_seconds: int = CRAWL_LEASE_SECONDS
 ) -> DataFrame:
-    """Lease every due job; the order is ranked over several tasks when the queue is large."""
+    """Lease every due job."""
     return _leased(rank_within(due_jobs(queue, now), [], order, "_rank"), now, workers, lease_seconds).drop("_rank")
 
 
@@ -149,12 +138,12 @@ def finish_crawl(queue: DataFrame, outcomes: DataFrame) -> DataFrame:
     joined = queue.join(outcomes.withColumn("_done", F.lit(True)), "url", "left")
     done = F.coalesce("_done", F.lit(False))
     throttled = done & is_throttled(F.col("http_status"))
-    wait = F.coalesce(F.col("retry_after").cast("double"), backoff_seconds(F.col("url"), F.col("attempts")))
+    retry_at = crawl_retry_at(F.col("url"), F.col("attempts"), F.col("retry_after"), F.col("at"))
     status = F.when(throttled, "queued").when(done, F.coalesce("result", F.lit("failed"))).otherwise(F.col("status"))
     return joined.withColumns(
         {
             "status": status,
-            "next_attempt": F.when(throttled, plus_seconds(F.col("at"), wait)).otherwise(F.col("next_attempt")),
+            "next_attempt": F.when(throttled, retry_at).otherwise(F.col("next_attempt")),
             "worker_id": F.when(~done, F.col("worker_id")),
             "locked_until": F.when(~done, F.col("locked_until")),
         }
@@ -188,7 +177,7 @@ def finish_searches(searches: DataFrame, outcomes: DataFrame) -> DataFrame:
         F.when(bad & F.col("fatal"), F.struct("at", retry_at.alias("retry_at"))).alias("_block"),
     )
     blocks = applied.filter("_fatal").groupBy("provider").agg(F.min("_block").alias("_provider_block"))
-    spread = lookup(applied, blocks, "provider", ["query", "page"])
+    spread = lookup(applied, blocks, "provider")
     hit = F.col("_provider_block").isNotNull() & F.col("status").isin(*WAITING_SEARCHES)
     return spread.withColumns(
         {

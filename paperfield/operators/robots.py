@@ -106,7 +106,7 @@ def match_path(url: Column) -> Column:
 def with_robots_verdict(df: DataFrame, url: str, rules: DataFrame, out: str = "robots_allowed") -> DataFrame:
     """Whether the first matching rule of the host lets us fetch ``url``; no rule means yes."""
     prepared = df.withColumn("host", domain_of(F.col(url))).withColumn("_path", match_path(F.col(url)))
-    joined = lookup(prepared, rules, "host", [url])
+    joined = lookup(prepared, rules, "host")
     first = F.try_element_at(F.filter("rules", lambda r: F.col("_path").startswith(r["path"])), F.lit(1))
     verdict = (F.col("host") != "") & F.coalesce(first["allow"], F.lit(True))
     return joined.withColumn(out, verdict).select(*df.columns, out)

@@ -9,12 +9,6 @@ from pyspark.sql import functions as F
 
 from paperfield.session import materialize
 
-SALT_LEVELS = (1024, 32)
-LOOKUP_SALTS = 16
-PLAIN_GROUP_ROWS = 4_000_000
-MAP_SIDE_LIMIT = 100
-
-
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of every key.
 
@@ -25,54 +19,18 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return numbered.filter(F.col("_rn") == 1).drop("_rn")
 
 
-def top_per_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    cap: int,
-    out: str = "rank",
-    salts: Sequence[int] = SALT_LEVELS,
-) -> DataFrame:
-    """Rows ranked 1..cap within their key, exact for any cap.
-
-    Small caps are cut map-side by WindowGroupLimit.  Larger ones go through a tree: each level
-    keeps the best ``cap`` rows of (key, salt) with ever fewer salts, so no task sorts a hot key whole.
-    """
-    levels = salts if cap > MAP_SIDE_LIMIT else ()
-    for salt in levels:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable(df)), F.lit(salt)))
-        window = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = salted.withColumn(out, F.row_number().over(window)).filter(F.col(out) <= cap).drop(out, "_salt")
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(out) <= cap)
-
-
-def hashable(df: DataFrame) -> list[Column]:
-    """Columns whose hash spreads the rows of one key; a rerun task computes the same hash."""
-    return [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-
-
-def has_large_group(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """Whether any key has more than ``limit`` rows; reads the key columns only."""
-    counts = df.groupBy(*keys).count() if keys else df.select(F.count("*").alias("count"))
-    return bool(counts.filter(F.col("count") > limit).head(1))
+def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], cap: int, out: str = "rank") -> DataFrame:
+    """Rows ranked 1..cap within their key, exact for any cap and any size of a key."""
+    return rank_within(df, keys, order, out).filter(F.col(out) <= cap)
 
 
-def rank_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    out: str = "rank",
-    plain_rows: int = PLAIN_GROUP_ROWS,
-) -> DataFrame:
+def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "rank") -> DataFrame:
     """``row_number()`` of every row within its key, for groups of any size.
 
-    When no group exceeds ``plain_rows`` this is one window.  Otherwise the rows are range
-    partitioned by (key, order), so that a hot key spans several tasks, and written once to fix
-    their places; a key's rank is then the place inside its partition plus the rows of the same
-    key in earlier partitions.  ``order`` must be total within a key.
+    The rows are range partitioned by (key, order), so that a hot key spans several tasks, and
+    written once to fix their places; a key's rank is then the place inside its partition plus the
+    rows of the same key in earlier partitions.  ``order`` must be total within a key.
     """
-    if not has_large_group(df, keys, plain_rows):
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
     sort = [*[F.col(k) for k in keys], *order]
     placed = materialize(
         df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("_place", F.monotonically_increasing_id()),
@@ -89,23 +47,14 @@ def rank_within(
     return ranked.select(*df.columns, out)
 
 
-def lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str | Sequence[str],
-    spread: Sequence[str],
-    how: str = "left",
-    salts: int = LOOKUP_SALTS,
-) -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, key: str | Sequence[str], how: str = "left") -> DataFrame:
     """Join rows, many to a key, to a table that has few rows per key.
 
-    The rows of a hot key are spread over ``salts`` tasks by a hash of ``spread``; the table is
-    repeated once per salt.  Spark still broadcasts the table when its measured size allows.
+    Spark broadcasts the table when its measured size allows.  Otherwise adaptive execution splits
+    the partitions of hot keys into as many tasks as their bytes need; the table is repeated for
+    those partitions only.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return rows.join(table, [key] if isinstance(key, str) else list(key), how)
 
 
 def with_next(df: DataFrame, key: str, ts: str, tie: str, out: str = "next_ts", width_seconds: int = 3600) -> DataFrame:

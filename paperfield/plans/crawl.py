@@ -16,12 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperfield.functions.content import content_class, crawl_retry_after, decode_body, is_pdf, url_looks_like_pdf
-from paperfield.functions.retry import backoff_seconds, is_throttled, plus_seconds
+from paperfield.functions.retry import crawl_retry_at, is_throttled, plus_seconds
 from paperfield.functions.urls import canonical_url, domain_of
 from paperfield.operators.links import extract_links
 from paperfield.operators.policy import HostRules, with_verdict
 from paperfield.operators.robots import with_robots_verdict
-from paperfield.operators.skew import first_per_key, has_large_group, lookup, rank_within, top_per_key
+from paperfield.operators.skew import first_per_key, lookup, rank_within, top_per_key
 from paperfield.session import materialize, materialize_bucketed
 
 # --- fixed values -----------------------------------------------------------------------------
@@ -57,7 +57,7 @@ class CrawlResult:
 def link_table(responses: DataFrame) -> DataFrame:
     """One pass over the responses: facts of each, repeated for each of its links.
 
-    A response without links has one row with ``pos`` NULL.
+    A response without links has one row with ``pos`` NULL.  ``response`` tells responses apart.
     """
     header = F.col("headers")
     ctype = header["Content-Type"]
@@ -68,6 +68,7 @@ def link_table(responses: DataFrame) -> DataFrame:
         .withColumn("final", final)
         .withColumn("is_pdf", is_pdf(F.col("final"), ctype, F.col("body")))
         .withColumn("kind", content_class(ctype, F.col("final")))
+        .withColumn("response", F.xxhash64("request_url", "final_url", "status", "fetched_at", "body", F.map_entries("headers")))
     )
     html = ~F.col("is_pdf") & (F.col("kind") == "html") & ~is_throttled(F.col("status"))
     compact = facts.select(
@@ -78,6 +79,7 @@ def link_table(responses: DataFrame) -> DataFrame:
         "is_pdf",
         "kind",
         "fetched_at",
+        "response",
         F.when(html, decode_body(F.col("body"), ctype)).alias("_html"),
     )
     return extract_links(compact, "_html", "final", keep_pages=True).drop("ref")
@@ -86,7 +88,7 @@ def link_table(responses: DataFrame) -> DataFrame:
 def newest_facts(links: DataFrame) -> DataFrame:
     """The latest response of each request URL."""
     single = links.filter(F.col("pos").isNull() | (F.col("pos") == 1)).drop("pos", "link")
-    return first_per_key(single, ["request"], [F.desc("fetched_at"), F.col("final"), F.col("http_status")])
+    return first_per_key(single, ["request"], [F.desc("fetched_at"), F.col("final"), F.col("http_status"), F.col("response")])
 
 
 def seed_frontier(seeds: DataFrame, rules: HostRules, extra_hosts: DataFrame | None = None) -> DataFrame:
@@ -110,22 +112,18 @@ def domain_cap(jobs: DataFrame, cap: int, used: DataFrame | None = None, order:
     order = list(order or level_order())
     ranked = top_per_key(jobs, ["domain"], order, cap)
     if used is not None:
-        spent = lookup(ranked, used.select("domain", F.col("n").alias("_n")), "domain", ["url"])
+        spent = lookup(ranked, used.select("domain", F.col("n").alias("_n")), "domain")
         ranked = spent.filter(F.col("rank") <= cap - F.coalesce("_n", F.lit(0))).drop("_n")
     return ranked
 
 
-def _page_limits(yields: DataFrame, used: DataFrame, cap: int) -> DataFrame | None:
+def _page_limits(yields: DataFrame, used: DataFrame, cap: int) -> DataFrame:
     """Per domain, the order key of the last job that still fits; NULL key: nothing fits.
 
-    A job is let through while fewer than ``cap`` HTML pages of its domain come before it.  None
-    when no domain reaches the cap.
+    A job is let through while fewer than ``cap`` HTML pages of its domain come before it.
     """
-    total = yields.groupBy("domain").agg(F.count("*").alias("n")).unionByName(used).groupBy("domain").agg(F.sum("n").alias("n"))
-    if not total.filter(F.col("n") >= cap).head(1):
-        return None
     ranked = top_per_key(yields, ["domain"], level_order(), cap)
-    spent = lookup(ranked, used, "domain", ["url"]).withColumn("_left", cap - F.coalesce("n", F.lit(0)))
+    spent = lookup(ranked, used, "domain").withColumn("_left", cap - F.coalesce("n", F.lit(0)))
     last = spent.filter(F.col("rank") == F.col("_left")).select(
         "domain", F.struct((-F.col("priority")).alias("p"), "url").alias("last_key")
     )
@@ -144,19 +142,13 @@ def crawl(
     extra_hosts: DataFrame | None = None,
     queue: DataFrame | None = None,
 ) -> CrawlResult:
-    """Breadth-first expansion of ``frontier`` (url, priority, optional depth) over a written link table.
+    """Breadth-first expansion of ``frontier`` (url, priority, optional depth and attempts) over a written link table.
 
     ``urls`` and ``documents`` count against the caps; addresses in ``queue`` are not enqueued anew.
+    Jobs that lie deeper than ``max_depth`` are judged like others, but their links are not followed.
     """
     facts = materialize_bucketed(newest_facts(links), "facts", "request")
-    bound = links.agg(
-        F.count_if((F.col("pos").isNull() | (F.col("pos") == 1)) & (F.col("kind") == "html")).alias("pages"),
-        F.count_if(F.col("is_pdf") | url_looks_like_pdf(F.col("link"))).alias("documents"),
-    ).first()
-    known = urls.count() if urls is not None else 0
-    pages_may_reach_cap = bound["pages"] + known >= options.max_pages
-    newest = facts.select("request", "fetched_at")
-    found = links.filter(F.col("link") != "").join(newest, ["request", "fetched_at"], "left_semi")
+    found = links.filter(F.col("link") != "").join(facts.select("request", "response"), ["request", "response"], "left_semi")
     edges = materialize_bucketed(found.select("request", "link"), "edges", "request")
     known_pages = (
         urls.filter(F.col("url_type") == "html").select("domain", F.col("canonical_url").alias("final"))
@@ -164,13 +156,14 @@ def crawl(
         else frontier.sparkSession.createDataFrame([], "domain string, final string")
     )
     start = frontier if "depth" in frontier.columns else frontier.withColumn("depth", F.lit(0))
-    start = materialize(start.select("url", "priority", "depth"), "frontier")
+    start = start if "attempts" in start.columns else start.withColumn("attempts", F.lit(0))
+    start = materialize(start.select("url", "priority", "depth", F.coalesce("attempts", F.lit(0)).alias("attempts")), "frontier")
     done: list[DataFrame] = []
     seen = [start.select("url")] + ([queue.select("url")] if queue is not None else [])
     level = start.filter(F.col("depth") == 0)
     depth = 0
     while True:
-        judged = materialize(_judge(level, facts, robots_rules, options, known_pages if pages_may_reach_cap else None, done, now), f"level{depth}")
+        judged = materialize(_judge(level, facts, robots_rules, options, known_pages, done, now, extra_hosts), f"level{depth}")
         done.append(judged)
         if depth >= options.max_depth:
             break
@@ -179,56 +172,57 @@ def crawl(
             followed.filter(~url_looks_like_pdf(F.col("link"))).select(F.col("link").alias("url")), ["url"], [F.col("url")]
         ).join(reduce(DataFrame.unionByName, seen), "url", "left_anti")
         depth += 1
-        found = materialize(fresh.withColumns({"priority": F.lit(LINK_PRIORITY), "depth": F.lit(depth)}), "frontier")
+        found = materialize(fresh.withColumns({"priority": F.lit(LINK_PRIORITY), "depth": F.lit(depth), "attempts": F.lit(0)}), "frontier")
         seen.append(found.select("url"))
         level = found.unionByName(start.filter(F.col("depth") == depth))
         if not found.head(1) and not start.filter(F.col("depth") >= depth).head(1):
             break
+    deeper = start.filter(F.col("depth") > options.max_depth)
+    done.append(materialize(_judge(deeper, facts, robots_rules, options, known_pages, done, now, extra_hosts), "deeper"))
     everything = reduce(DataFrame.unionByName, done)
     followed = _follow(everything.filter(F.col("depth") < options.max_depth), edges, options, extra_hosts)
     return CrawlResult(
         queue=everything.select("url", "depth", "priority", "status", "http_status", "next_attempt"),
         urls=_remembered(everything, now),
-        sightings=_document_sightings(everything, followed, options, documents, now, bound["documents"]),
+        sightings=_document_sightings(everything, followed, options, documents, now),
     )
 
 
 def _judge(
     level: DataFrame, facts: DataFrame, robots_rules: DataFrame, options: CrawlOptions,
-    known_pages: DataFrame | None, done: Sequence[DataFrame], now: Column,
+    known_pages: DataFrame, done: Sequence[DataFrame], now: Column, extra_hosts: DataFrame | None,
 ) -> DataFrame:
-    """Statuses of one level.  A job whose response was not captured stays queued.
+    """Statuses of one level: the host policy decides first, then robots rules, caps and the response.
 
-    ``known_pages`` None means that the page cap is out of reach altogether.
+    A job whose response was not captured stays queued.
     """
     joined = level.join(facts.withColumnRenamed("request", "url"), "url", "left")
-    checked = with_robots_verdict(joined, "url", robots_rules).withColumn("domain", domain_of(F.col("url")))
+    ruled = with_verdict(joined, "url", options.rules, extra_hosts)
+    checked = with_robots_verdict(ruled, "url", robots_rules).withColumn("domain", domain_of(F.col("url")))
     captured, throttled = F.col("http_status").isNotNull(), is_throttled(F.col("http_status"))
-    is_page = F.col("robots_allowed") & captured & ~throttled & ~F.col("is_pdf") & (F.col("kind") == "html")
-    limits = None if known_pages is None else _level_limits(checked.filter(is_page), known_pages, done, options.max_pages)
-    if limits is None:
-        limited = checked.withColumn("_over", F.lit(False))
-    else:
-        marked = lookup(checked, limits.withColumn("_limited", F.lit(True)), "domain", ["url"])
-        key = F.struct((-F.col("priority")).alias("p"), F.col("url"))
-        over = F.coalesce("_limited", F.lit(False)) & (F.col("last_key").isNull() | (key > F.col("last_key")))
-        limited = marked.withColumn("_over", over)
+    open_ = F.col("allowed") & F.col("robots_allowed")
+    is_page = open_ & captured & ~throttled & ~F.col("is_pdf") & (F.col("kind") == "html")
+    limits = _level_limits(checked.filter(is_page), known_pages, done, options.max_pages)
+    marked = lookup(checked, limits.withColumn("_limited", F.lit(True)), "domain")
+    key = F.struct((-F.col("priority")).alias("p"), F.col("url"))
+    over = F.coalesce("_limited", F.lit(False)) & (F.col("last_key").isNull() | (key > F.col("last_key")))
+    limited = marked.withColumn("_over", over)
     status = (
-        F.when(~F.col("robots_allowed"), "robots")
+        F.when(~F.col("allowed"), "skipped")
+        .when(~F.col("robots_allowed"), "robots")
         .when(F.col("_over"), "domain_limit")
         .when(~captured | throttled, "queued")
         .otherwise("completed")
     )
-    wait = F.coalesce(F.col("retry_after"), backoff_seconds(F.col("url"), F.lit(0)))
-    waiting = F.col("robots_allowed") & ~F.col("_over") & throttled
+    waiting = open_ & ~F.col("_over") & throttled
     return limited.select(
         "url", "depth", "priority", status.alias("status"), "http_status", "final", "kind", "is_pdf", "fetched_at",
         F.coalesce(is_page, F.lit(False)).alias("is_page"),
-        F.when(waiting, plus_seconds(now, wait)).alias("next_attempt"),
+        F.when(waiting, crawl_retry_at(F.col("url"), F.col("attempts"), F.col("retry_after"), now)).alias("next_attempt"),
     )
 
 
-def _level_limits(candidates: DataFrame, known_pages: DataFrame, done: Sequence[DataFrame], cap: int) -> DataFrame | None:
+def _level_limits(candidates: DataFrame, known_pages: DataFrame, done: Sequence[DataFrame], cap: int) -> DataFrame:
     """Page limits of a level, given the pages of the index and of the levels before."""
     earlier = [
         d.filter((F.col("status") == "completed") & F.col("is_page")).select(domain_of(F.col("final")).alias("domain"), "final")
@@ -267,7 +261,7 @@ def _remembered(everything: DataFrame, now: Column) -> DataFrame:
 
 
 def _document_sightings(
-    everything: DataFrame, followed: DataFrame, options: CrawlOptions, documents: DataFrame | None, now: Column, bound: int
+    everything: DataFrame, followed: DataFrame, options: CrawlOptions, documents: DataFrame | None, now: Column
 ) -> DataFrame:
     direct = everything.filter((F.col("status") == "completed") & F.col("is_pdf")).select(
         F.col("final").alias("url"), F.col("url").alias("source_url"), "depth", domain_of(F.col("url")).alias("domain")
@@ -285,17 +279,16 @@ def _document_sightings(
         used = documents.groupBy("domain").agg(F.count("*").alias("n"))
         known = found.join(documents.select(F.col("canonical_url").alias("url")), "url", "left_semi")
         found = found.join(known.select("url"), "url", "left_anti")
-    if used is not None or (bound > options.max_documents and has_large_group(found, ["domain"], options.max_documents)):
-        found = domain_cap(found, options.max_documents, used, order).drop("rank")
+    found = domain_cap(found, options.max_documents, used, order).drop("rank")
     if known is not None:
         found = found.unionByName(known)
     nothing = F.lit(None).cast("string")
     return found.select("url", "source_url", nothing.alias("state"), nothing.alias("agency"), "depth", now.alias("seen_at"))
 
 
-def fetch_plan(jobs: DataFrame, start: Column, order: Sequence[Column], rps: float = REQUESTS_PER_SECOND, **rank_options) -> DataFrame:
+def fetch_plan(jobs: DataFrame, start: Column, order: Sequence[Column], rps: float = REQUESTS_PER_SECOND) -> DataFrame:
     """Earliest start of every job such that a domain gets at most ``rps`` requests per second."""
-    ranked = rank_within(jobs, ["domain"], order, "turn", **rank_options)
+    ranked = rank_within(jobs, ["domain"], order, "turn")
     return ranked.withColumn("earliest_start", plus_seconds(start, (F.col("turn") - 1) / F.lit(max(rps, 0.01))))
 
 

@@ -37,7 +37,7 @@ def download_step(
         )
         names = number_collisions(good).select(F.col("dest").alias("download_path"), "sha256", "final_path")
         results = (
-            lookup(results, names, ["download_path", "sha256"], ["canonical_url"])
+            lookup(results, names, ["download_path", "sha256"])
             .withColumn("download_path", F.coalesce("final_path", "download_path"))
             .drop("final_path")
         )

@@ -13,14 +13,18 @@ _FILE_SCAN = "path string, modificationTime timestamp, length long, content bina
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
-    """Agency records of JSON files holding ``{"agencies": [...]}`` or a bare list, with ``pos``."""
+    """Agency records of JSON files holding ``{"agencies": [...]}`` or a bare list.
+
+    ``pos`` orders the records by file name and by their place in the file.
+    """
     names = schemas.SEED_RECORD.names
     files = spark.read.schema(schemas.SEED_FILE).json(path, multiLine=True)
     flat = F.when(F.coalesce(*[F.col(n).cast("string") for n in names]).isNotNull(), F.array(F.struct(*names)))
-    located = files.withColumn("_file", F.monotonically_increasing_id())
-    listed = located.select("_file", F.posexplode(F.coalesce(F.col("agencies"), flat)).alias("_no", "_r"))
-    pos = F.shiftleft(F.col("_file"), 20) + F.col("_no")
-    return listed.filter(F.col("_r").isNotNull()).select("_r.*", pos.cast("long").alias("pos"))
+    # A bare list gives one row per record, in the order of the file.
+    located = files.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+    listed = located.select("_file", "_row", F.posexplode(F.coalesce(F.col("agencies"), flat)).alias("_no", "_r"))
+    pos = F.struct(F.col("_file").alias("file"), F.col("_row").alias("row"), F.col("_no").cast("long").alias("no"))
+    return listed.filter(F.col("_r").isNotNull()).select("_r.*", pos.alias("pos"))
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -28,16 +32,6 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a plain scan that has fewer partitions than there are cores.
-
-    For CPU-heavy work on small tables, whose single row group would keep one core busy.  The scan
-    of a large table has more partitions than cores and is left as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def scan_files(spark: SparkSession, root: str, pattern: str = "*.pdf") -> DataFrame:
     """(path, length) of the files below ``root``; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)

@@ -39,7 +39,7 @@ def export_rows(documents: DataFrame, agencies: DataFrame) -> DataFrame:
     """
     types = agencies.select("state", F.col("agency_name").alias("agency"), "agency_type")
     named = F.col("state").isNotNull() & F.col("agency").isNotNull()
-    joined = lookup(documents.filter(named), types, ["state", "agency"], ["canonical_url"])
+    joined = lookup(documents.filter(named), types, ["state", "agency"])
     rest = documents.filter(~named).withColumn("agency_type", F.lit(None).cast("string"))
     return joined.select(*EXPORT_COLUMNS).unionByName(rest.select(*EXPORT_COLUMNS))
 
@@ -64,13 +64,12 @@ def write_jsonl(rows: DataFrame, path: str, ascii_only: bool = False) -> int:
     return seen.get["n"]
 
 
-def write_bodies(unique: DataFrame, path: str, files_per_prefix: int = 1) -> None:
+def write_bodies(unique: DataFrame, path: str) -> None:
     """Append (sha256, body) to the body table, one folder per first digest byte.
 
-    Digests are uniform, so folders fill evenly; raise ``files_per_prefix`` with the data.  Files
-    are sorted by digest, so a lookup skips all but one row group.
+    The tasks, as many as the session shuffles to, each take a range of digests, which are uniform.
+    Files are sorted by digest, so a lookup skips all but one row group.
     """
     p1, p2 = F.substring("sha256", 1, 2), F.substring("sha256", 3, 2)
-    part = F.pmod(F.conv(F.substring("sha256", 5, 4), 16, 10).cast("int"), F.lit(files_per_prefix))
-    fanned = unique.withColumns({"p1": p1, "p2": p2}).repartition("p1", part)
+    fanned = unique.withColumns({"p1": p1, "p2": p2}).repartitionByRange("sha256")
     fanned.sortWithinPartitions("p1", "sha256").write.mode("append").partitionBy("p1").parquet(path)

@@ -64,19 +64,18 @@ def skewed(spark):
 def test_rank_within_hot_key(spark, skewed):
     order = [F.desc("v"), F.col("id")]
     plain = skewed.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy(*order)).cast("long"))
-    spread = skew.rank_within(skewed, ["k"], order, plain_rows=100)
+    spread = skew.rank_within(skewed, ["k"], order)
     assert spread.exceptAll(plain).count() == 0 and spread.count() == 20000
-    assert skew.rank_within(skewed, ["k"], order).exceptAll(plain).count() == 0
 
 
 def test_rank_over_everything(spark, skewed):
-    ranked = skew.rank_within(skewed, [], [F.col("id")], plain_rows=100)
+    ranked = skew.rank_within(skewed, [], [F.col("id")])
     assert ranked.filter("rank = id + 1").count() == 20000
 
 
 def test_rank_keeps_null_keys(spark):
     frame = spark.createDataFrame([(None, 2), (None, 1), ("a", 3)], "k string, v int")
-    got = {(r.k, r.v): r.rank for r in skew.rank_within(frame, ["k"], [F.col("v")], plain_rows=1).collect()}
+    got = {(r.k, r.v): r.rank for r in skew.rank_within(frame, ["k"], [F.col("v")]).collect()}
     assert got == {(None, 1): 1, (None, 2): 2, ("a", 3): 1}
 
 
@@ -84,7 +83,7 @@ def test_rank_keeps_null_keys(spark):
 def test_top_per_key(spark, skewed, cap):
     order = [F.col("v"), F.col("id")]
     plain = skewed.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy(*order))).filter(F.col("rank") <= cap)
-    tree = skew.top_per_key(skewed, ["k"], order, cap, salts=(16, 4))
+    tree = skew.top_per_key(skewed, ["k"], order, cap)
     assert tree.count() == plain.count() and tree.exceptAll(plain).count() == 0
 
 
@@ -97,5 +96,5 @@ def test_first_per_key_is_cut_before_the_shuffle(spark, skewed):
 
 def test_lookup_keeps_all_rows(spark, skewed):
     table = skewed.select("k").distinct().filter("k <> 'k3'").withColumn("w", F.length("k"))
-    joined = skew.lookup(skewed, table, "k", ["id"])
+    joined = skew.lookup(skewed, table, "k")
     assert joined.count() == 20000 and joined.filter("w is null and k <> 'k3'").count() == 0
