@@ -13,7 +13,9 @@ from paperfield.llm.common import BLOCK_BYTES, mix, named, numbered, prefix_hash
 
 GRAM = 32  # bytes that choose an anchor
 HOT_IN_BLOCK = 64  # surroundings of one anchor in a block from which its group is spread over tasks
-HOT_GROUP = 512  # the same for a whole group; smaller groups are sorted in one task
+HOT_GROUP = 2048  # the same for a whole group; smaller groups are sorted in one task
+STRINGS = 10  # strings of a part of a spread region
+HOT_CORE = 8192  # parts with one core that are sorted in one task; more are dealt string by string
 FIRST, DONE, SPREAD, MARK = 0, 1, 2, 3
 
 
@@ -61,7 +63,7 @@ def spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarr
     return doc[first], start[first], end[last]
 
 
-def _block_rows(ids: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int, offset: int) -> list[np.ndarray]:
+def _block_rows(ids: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int, offset: int, most: int) -> list[np.ndarray]:
     """Rows (route, gram, region, doc, place) of a block; strings that it repeats are settled at once."""
     gram, region, first, last, anchor = anchor_regions(data, starts, sizes, length)
     if not len(gram):
@@ -79,7 +81,7 @@ def _block_rows(ids: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np
         rows.append((mix(d.view(np.uint64) + mix(s.view(np.uint64))), np.zeros(len(d), np.uint64), e.view(np.uint64), d, s << 16 | DONE))
     gram, region, doc, low, width, left = (x[fresh] for x in (gram, region, doc, low, width, left))
     _, which, count = np.unique(gram, return_inverse=True, return_counts=True)
-    hot = count[which] > HOT_IN_BLOCK
+    hot = count[which] > most
     route = np.where(hot, mix(gram + region), gram)
     rows.append((route, np.where(hot, gram, np.uint64(0)), region, doc, low << 16 | width << 9 | left << 2 | np.where(hot, SPREAD, FIRST)))
     if hot.any():
@@ -92,6 +94,8 @@ def _block_rows(ids: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np
 def anchors(texts: DataFrame, length: int) -> DataFrame:
     """(route, gram, region, doc, place) of every text (_id, text); place packs start, widths and kind."""
 
+    most = HOT_IN_BLOCK
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -99,9 +103,9 @@ def anchors(texts: DataFrame, length: int) -> DataFrame:
                 for offset in range(0, max(1, len(data)), 2 * BLOCK_BYTES):
                     if last - first == 1:  # a long text goes in pieces that overlap by all but one byte of a string
                         part = data[offset : offset + 2 * BLOCK_BYTES + length - 1]
-                        rows = _block_rows(ids[first:last], part, starts, np.array([len(part)]), length, offset)
+                        rows = _block_rows(ids[first:last], part, starts, np.array([len(part)]), length, offset, most)
                     else:
-                        rows = [] if offset else _block_rows(ids[first:last], data, starts, sizes, length, 0)
+                        rows = [] if offset else _block_rows(ids[first:last], data, starts, sizes, length, 0, most)
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in rows], ["route", "gram", "region", "doc", "place"])
 
@@ -252,8 +256,31 @@ def sorted_spans(regions: DataFrame, length: int) -> DataFrame:
     return regions.repartition("gram").sortWithinPartitions("gram").mapInArrow(sort, "doc long, start long, end long")
 
 
+def cored(regions: DataFrame, length: int) -> DataFrame:
+    """Regions of frequent grams in parts of few strings, named anew by what all strings of a part have in common.
+
+    Strings that are equal have equal cores, so a frequent gram falls apart into as many groups as it has cores. Parts
+    whose core occurs once are left out; ``count`` tells how often the others' does.
+    """
+    i = lambda c: F.col("left") - c * STRINGS  # noqa: E731  the last string of part c
+    first = lambda c: F.greatest(F.lit(0).cast("long"), i(c) - (STRINGS - 1))
+    last = lambda c: F.least(F.length("bytes") - length, i(c))
+    cut = lambda start, size: F.col("bytes").substr((start + 1).cast("int"), size.cast("int"))
+    part = lambda c: F.struct(
+        F.xxhash64("gram", c, cut(i(c), F.lit(length - STRINGS + 1))).alias("gram"),
+        (F.col("left") - first(c)).alias("left"),
+        "doc",
+        (F.col("low") + first(c)).alias("low"),
+        cut(first(c), last(c) - first(c) + length).alias("bytes"),
+    )
+    parts = F.sequence(F.floor((F.col("left") - (F.length("bytes") - length)) / STRINGS), F.floor(F.col("left") / STRINGS))
+    dealt = regions.select(F.explode(F.transform(parts, part)).alias("p")).select("p.*")
+    counts = dealt.groupBy("gram").agg(F.count("*").alias("count")).filter("count > 1")
+    return dealt.join(counts, "gram")
+
+
 def spread_spans(regions: DataFrame, length: int) -> DataFrame:
-    """The same for frequent grams: the first of equal strings, by digest, is found with a partial minimum."""
+    """(doc, start, end) for cores that are frequent too: the first of equal strings is found with a partial minimum."""
     inner = F.sequence(F.lit(0), F.length("bytes") - length)
     key = lambda i: F.unhex(F.md5(F.col("bytes").substr(i + F.lit(1), F.lit(length))))
     each = regions.select("doc", F.explode(F.transform(inner, lambda i: F.struct((F.col("low") + i).alias("start"), key(i).alias("key")))).alias("s"))
@@ -309,7 +336,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, whole_characters: bool =
     if not GRAM < length <= GRAM + 68:
         raise ValueError(f"length must lie between {GRAM + 1} and {GRAM + 68}")
     docs, names = numbered(docs, "text")
-    texts = docs.select(F.col("_id").alias("doc"), utf8("text").alias("data"))
+    # The filter, always true, makes both joins below read one exchange: an inner join would add it on its own.
+    texts = docs.select(F.col("_id").alias("doc"), utf8("text").alias("data")).filter(F.col("doc").isNotNull())
     found = settle(anchors(docs.select("_id", "text"), length), length)
     items = found.groupBy("doc").agg(F.collect_list(F.struct("start", "end", "code", "gram")).alias("items"))
     open_ = F.filter("items", lambda x: x["gram"].isNotNull())
@@ -317,7 +345,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, whole_characters: bool =
     region = lambda x: F.struct(x["gram"].alias("gram"), x["code"].alias("code"), x["start"].alias("low"), piece(x).alias("bytes"))
     regions = texts.join(items, "doc").select("doc", F.explode(F.transform(open_, region)).alias("r"))
     regions = regions.select("r.gram", F.shiftright("r.code", 1).cast("long").alias("left"), "doc", "r.low", "r.bytes", (F.col("r.code") % 2 == 1).alias("spread"))
-    more = sorted_spans(regions.filter("not spread").drop("spread"), length).union(spread_spans(regions.filter("spread"), length))
+    parts = cored(regions.filter("spread"), length)
+    few = regions.filter("not spread").drop("spread").union(parts.filter(F.col("count") <= HOT_CORE).drop("count"))
+    more = sorted_spans(few, length).union(spread_spans(parts.filter(F.col("count") > HOT_CORE), length))
     more = more.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("more"))
     settled = F.transform(F.filter("items", lambda x: x["gram"].isNull()), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
     none = F.array().cast("array<struct<start:long,end:long>>")
