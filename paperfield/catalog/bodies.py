@@ -220,16 +220,17 @@ def document_counts(spark, folder):
     return status.table_counts({"documents": _documents(spark, folder)})
 
 
-@query(f"with {_DOCUMENTS} select count(*) as files, cast(sum(content_length) as bigint) as bytes from index_rows where download_status = 'complete'")
+@query("select count(*) as files, cast(sum(octet_length(encode(text))) as bigint) as bytes from documents")
 def storage_stats(spark, folder):
-    done = _documents(spark, folder).filter("download_status = 'complete'")
-    return status.storage_stats(done.select(F.col("content_length").alias("length")))
+    return status.storage_stats(document_rows(spark, folder).select(F.length("body").alias("length")))
 
 
-@query()
+@query("select count(distinct source) as files, cast(sum(octet_length(encode(text)) + 1) as bigint) as bytes from documents")
 def file_tree_scan(spark, folder):
-    """Number and bytes of the table files, from a scan that does not open them."""
-    return status.storage_stats(readers.scan_files(spark, folder, "*.parquet"))
+    """Number and bytes of a tree of text files, one for each source, from a scan that does not open them."""
+    path = new_location(spark, "tree")
+    table(spark, folder, "documents").select("source", "text").repartition("source").write.partitionBy("source").text(path)
+    return status.storage_stats(readers.scan_files(spark, path, "*.txt"))
 
 
 _STEP = f"""with {DOCUMENT_ROWS}, tried as (select doc_id, pdf_url as canonical_url, sha256, cast(octet_length(encode(text)) as bigint) as n, doc_id % 8 as attempts,
@@ -257,7 +258,7 @@ def _step(spark, folder):
 @query(
     f"""{_STEP} select canonical_url, state as download_status, case when state = 'complete' then sha256 end as sha256, case when state = 'complete' then n end as content_length,
       case when state = 'complete' then 'data/' || substr(sha256, 1, 2) || '/' || substr(sha256, 3, 2) || '/' || sha256 || '.pdf' end as download_path,
-      case when state <> 'queued' then cast(http_status as bigint) end as http_status, error, case when state = 'complete' then cast(doc_id as varchar) end as etag from judged"""
+      case when state = 'complete' or state = 'failed' and http_status = 503 then cast(http_status as bigint) end as http_status, error, case when state = 'complete' then cast(doc_id as varchar) end as etag from judged"""
 )
 def download_finalise(spark, folder):
     """Documents after one batch of fetched bodies."""

@@ -157,7 +157,7 @@ def ingest_tables(spark, folder):
 @query(
     """select 'q ' || source as query, doc_id as page, case when doc_id % 10 = 7 then 'completed' when doc_id % 10 >= 8 then 'backoff' else 'completed' end as status,
       case when doc_id % 10 = 7 then cast(1 as bigint) when doc_id % 10 < 8 then cast(2 as bigint) end as result_count,
-      case when doc_id % 10 = 9 then 'yahoo http 429' when doc_id % 10 = 8 then 'yahoo http 500' end as error from documents"""
+      case when doc_id % 10 = 9 then 'yahoo http 429' when doc_id % 10 = 8 then 'yahoo http 500' end as error, cast(1 as bigint) as attempts, true as started from documents"""
 )
 def search_step(spark, folder):
     """One step of the search plan: cached, answered, throttled and failed pages."""
@@ -165,17 +165,18 @@ def search_step(spark, folder):
     searches = tables.align(pages.select("provider", "query", "page"), schemas.SEARCHES, status=F.lit("pending"), attempts=F.lit(0))
     stored = tables.align(pages.filter("page % 10 = 7").select("provider", "query", "page"), schemas.SEARCH_RESULTS, url=F.lit("https://a.gov"), pos=F.lit(1))
     after, _, _ = discovery.fetch_step(searches, stored, pages, now())
-    return after.select("query", F.col("page").cast("bigint").alias("page"), "status", F.col("result_count").cast("bigint").alias("result_count"), "error")
+    counts = [F.col(c).cast("bigint").alias(c) for c in ("page", "result_count", "attempts")]
+    return after.select("query", *counts, "status", "error", F.col("started_at").isNotNull().alias("started"))
 
 
 @query(
-    """with old as (select user_id, event_type, event_id, 'old' as origin from events where event_id % 2 = 0), new as (select user_id, event_type, event_id, 'new' as origin from events where event_id % 2 = 1 and user_id % 3 = 0)
+    """with old as (select user_id, event_type, event_id, 'old' as origin from events where event_id % 2 = 0 or user_id % 3 <> 0), new as (select user_id, event_type, event_id, 'new' as origin from events where event_id % 2 = 1 and user_id % 3 = 0)
     select * from old anti join new using (user_id, event_type) union all select user_id, event_type, event_id, origin from new"""
 )
 def group_replace(spark, folder):
     """Rows of every (user, type) group that the new batch mentions are replaced."""
     events = table(spark, folder, "events").select("user_id", "event_type", "event_id")
-    old = events.filter("event_id % 2 = 0").withColumn("origin", F.lit("old"))
+    old = events.filter("event_id % 2 = 0 or user_id % 3 <> 0").withColumn("origin", F.lit("old"))
     new = events.filter("event_id % 2 = 1 and user_id % 3 = 0").withColumn("origin", F.lit("new"))
     return tables.replace_groups(old, new, ["user_id", "event_type"])
 
@@ -222,10 +223,10 @@ def accepted_created(spark, folder):
     return tables.batch_counts(old, events, key)
 
 
-@query("select 'q ' || source as query, doc_id as page, case when doc_id % 10 in (3, 7) then 'cached' else 'fetch' end as source from documents where doc_id % 9 <> 0")
+@query("select 'q ' || source as query, doc_id as page, case when doc_id % 10 in (3, 7) then 'cached' else 'fetch' end as source from documents")
 def cache_split(spark, folder):
     """Due pages answered by stored results, and those to fetch."""
     pages = table(spark, folder, "documents").select(F.lit("yahoo").alias("provider"), F.concat(F.lit("q "), "source").alias("query"), F.col("doc_id").alias("page"))
     hits = pages.filter("page % 10 in (3, 7)").withColumn("pos", F.explode(F.sequence(F.lit(1), F.lit(4))))
-    cached, to_fetch = discovery.split_by_cache(pages.filter("page % 9 <> 0"), hits)
+    cached, to_fetch = discovery.split_by_cache(pages, hits)
     return cached.select("query", "page", F.lit("cached").alias("source")).unionByName(to_fetch.select("query", "page", F.lit("fetch").alias("source")))

@@ -172,7 +172,7 @@ def crawl_outcomes(spark, folder):
 @query(
     f"""with {SEARCH_PAGES}, bad as (select provider, bool_or(page % 101 = 0 and provider <> 'p2') as fatal from searches where status = 'running' group by 1),
     applied as (select s.provider, query, page, case when status <> 'running' then status when page % 101 = 0 and s.provider <> 'p2' then 'blocked' when page % 3 = 0 then 'backoff' else 'completed' end as status,
-      attempts + case when status = 'running' and (page % 101 = 0 and s.provider <> 'p2' or page % 3 = 0) then 1 else 0 end as attempts, fatal from searches s left join bad b on b.provider = s.provider)
+      attempts, fatal from searches s left join bad b on b.provider = s.provider)
     select provider, query, page, case when fatal and status in ('pending','backoff') then 'blocked' else status end as status, cast(attempts as bigint) as attempts from applied"""
 )
 def provider_block(spark, folder):

@@ -56,7 +56,7 @@ def lease_history(spark, folder):
     return found.select("job", plain("claimed_at"), plain("locked_until"))
 
 
-_RETRIES = """with e as (select 'job ' || user_id || '-' || (event_id % 4) as job, ts, event_id, event_type = 'purchase' as ok from events where event_type in ('purchase', 'error', 'click')),
+_RETRIES = """with e as (select 'job ' || user_id || '-' || (event_id % 4) as job, ts, event_id, event_type = 'purchase' as ok from events),
     wins as (select job, min((ts, event_id)) as win from e where ok group by 1),
     fails as (select job, ts, event_id, row_number() over (partition by job order by ts, event_id) as k from e where not ok),
     kept as (select f.* from fails f left join wins w on f.job = w.job where k <= 6 and (win is null or (ts, event_id) < win)),
@@ -69,8 +69,7 @@ _RETRIES = """with e as (select 'job ' || user_id || '-' || (event_id % 4) as jo
 
 def _outcomes(events):
     job = F.format_string("job %d-%d", "user_id", F.col("event_id") % 4)
-    picked = events.filter(F.col("event_type").isin("purchase", "error", "click"))
-    return picked.select(job.alias("job"), "ts", "event_id", (F.col("event_type") == "purchase").alias("ok"))
+    return events.select(job.alias("job"), "ts", "event_id", (F.col("event_type") == "purchase").alias("ok"))
 
 
 def _shown(states):

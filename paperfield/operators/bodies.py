@@ -72,13 +72,28 @@ def unique_bodies(bodies: DataFrame, body: str = "body", key: str = "canonical_u
     return hashed.join(chosen, ["_key", "sha256"]).dropDuplicates(["sha256"]).select("sha256", "body", "copies")
 
 
-def number_collisions(files: DataFrame) -> DataFrame:
+def number_collisions(files: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Final name of every (dest, digest): equal digests share one, others are numbered from 2.
 
-    Input: dest, sha256, arrived (a total order).  Digests are numbered by first arrival.  A plain
-    name that looks like a numbered one is not taken into account.
+    Input: dest, sha256, arrived (a total order).  Digests are numbered by first arrival, after
+    those of ``stored`` (path, sha256), whose digests keep their names.  A plain name that looks
+    like a numbered one is not taken into account.
     """
     firsts = files.groupBy("dest", "sha256").agg(F.min("arrived").alias("arrived"))
-    ranked = rank_within(firsts, ["dest"], [F.col("arrived"), F.col("sha256")], "copy_no")
+    if stored is None:
+        ranked = rank_within(firsts, ["dest"], [F.col("arrived"), F.col("sha256")], "copy_no")
+    else:
+        numbered = r"__([0-9]+)(\.[^./]+)?$"
+        taken = stored.select(
+            F.regexp_replace("path", numbered, "$2").alias("dest"), "sha256",
+            F.coalesce(F.nullif(F.regexp_extract("path", numbered, 1), F.lit("")).cast("long"), F.lit(1)).alias("_old"),
+        ).groupBy("dest", "sha256").agg(F.min("_old").alias("_old"))
+        last = taken.groupBy("dest").agg(F.max("_old").alias("_last"))
+        joined = firsts.join(taken, ["dest", "sha256"], "left").join(last, "dest", "left")
+        fresh = rank_within(joined.filter(F.col("_old").isNull()), ["dest"], [F.col("arrived"), F.col("sha256")], "_no")
+        number = F.col("_no") + F.coalesce("_last", F.lit(0))
+        ranked = fresh.select(*firsts.columns, number.alias("copy_no")).unionByName(
+            joined.filter(F.col("_old").isNotNull()).select(*firsts.columns, F.col("_old").alias("copy_no"))
+        )
     name = F.when(F.col("copy_no") == 1, F.col("dest")).otherwise(collision_name(F.col("dest"), F.col("copy_no")))
     return ranked.withColumn("final_path", name)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -41,13 +42,19 @@ class HostRules:
 
     def verdict(self, host: Column, is_extra: Column | None = None) -> Column:
         """Deny wins, then extra hosts with their subdomains, then the allow list."""
-        extra = matches_any(host, [p.strip().lower().rstrip(".") for p in self.extra if p.strip()])
+        extra = matches_any(host, [p for p in map(_literal_host, self.extra) if p])
         if is_extra is not None:
             extra = extra | F.coalesce(is_extra, F.lit(False))
         allowed = matches_any(host, self.allowed or FALLBACK_ALLOWED)
         return (host != "") & ~matches_any(host, self.denied) & (extra | allowed)
 
 
+def _literal_host(value: str) -> str:
+    """Host of an extra entry, which may be a URL."""
+    text = value.strip().lower()
+    return ((urlsplit(text).hostname or "") if "://" in text else text).rstrip(".")
+
+
 def _glob(pattern: str) -> str:
     """Shell glob as a regular expression; '*' crosses dots."""
     out, i = "", 0

@@ -153,14 +153,14 @@ def finish_crawl(queue: DataFrame, outcomes: DataFrame) -> DataFrame:
 def finish_searches(searches: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Apply result-page outcomes (provider, query, page, ok, fatal, retry_after, hits, error, at).
 
-    A success clears error and next_attempt.  A failure counts an attempt and backs off, or blocks
-    when fatal; a fatal outcome also blocks every waiting page of its provider.
+    A success clears error and next_attempt.  A failure backs off, or blocks when fatal; a fatal
+    outcome also blocks every waiting page of its provider.  :func:`mark_running` counted the try.
     """
     key = ["provider", "query", "page"]
     joined = searches.join(outcomes.withColumn("_done", F.lit(True)), key, "left")
     done = F.coalesce("_done", F.lit(False))
     good, bad = done & F.col("ok"), done & ~F.col("ok")
-    attempts = F.coalesce("attempts", F.lit(0)) + F.when(bad, 1).otherwise(0)
+    attempts = F.coalesce("attempts", F.lit(0))
     job = F.concat_ws("|", "provider", "query", F.col("page").cast("string"))
     wait = F.coalesce(F.col("retry_after"), backoff_seconds(job, attempts, SEARCH_BACKOFF_BASE, SEARCH_BACKOFF_CAP))
     retry_at = plus_seconds(F.col("at"), wait)
@@ -221,7 +221,8 @@ def finish_downloads(
     won, lost = F.col("_state") == "completed", F.col("_state") == "failed"
     for name in ("download_path", "sha256", "content_length", "etag", "last_modified"):
         value[name] = F.when(won, F.col(f"_r.{name}")).otherwise(F.col(name))
-    value["http_status"] = F.when(won | lost, F.col("_r.http_status")).otherwise(F.col("http_status"))
+    kept = F.when(won | is_throttled(F.col("_r.http_status")), F.col("_r.http_status"))  # a failure keeps throttling answers only
+    value["http_status"] = F.when(won | lost, kept).otherwise(F.col("http_status"))
     value["error"] = (
         F.when(won, F.lit(None)).when(F.col("_state").isNotNull(), cut(F.col("_r.error"), DOWNLOAD_ERROR_LIMIT)).otherwise(F.col("error"))
     )

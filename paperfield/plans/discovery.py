@@ -10,7 +10,7 @@ from paperfield.functions.content import block_outcome, url_looks_like_pdf
 from paperfield.functions.urls import canonical_url
 from paperfield.operators.agencies import search_queries
 from paperfield.operators.policy import HostRules, with_verdict
-from paperfield.operators.queues import due_jobs, finish_searches
+from paperfield.operators.queues import apply_changes, due_jobs, finish_searches, mark_running
 from paperfield.operators.resultpages import get_extractor
 from paperfield.operators.skew import first_per_key
 from paperfield.operators.tables import align, insert_new, replace_groups
@@ -85,7 +85,8 @@ def fetch_step(
         .withColumn("at", now)
     )
     stored = replace_groups(results, new_hits, PAGE_KEY)
-    return finish_searches(searches, outcomes), stored, answered.unionByName(new_hits.select(*answered.columns))
+    running = apply_changes(searches, mark_running(answerable, now), PAGE_KEY)
+    return finish_searches(running, outcomes), stored, answered.unionByName(new_hits.select(*answered.columns))
 
 
 def route_hits(hits: DataFrame, rules: HostRules, extra_hosts: DataFrame | None = None) -> DataFrame:

@@ -35,7 +35,8 @@ def download_step(
         good = results.filter("ok").select(
             F.col("download_path").alias("dest"), "sha256", F.struct("at", "canonical_url").alias("arrived")
         )
-        names = number_collisions(good).select(F.col("dest").alias("download_path"), "sha256", "final_path")
+        stored = documents.filter(F.col("download_path").isNotNull() & F.col("sha256").isNotNull())
+        names = number_collisions(good, stored.select(F.col("download_path").alias("path"), "sha256")).select(F.col("dest").alias("download_path"), "sha256", "final_path")
         results = (
             lookup(results, names, ["download_path", "sha256"])
             .withColumn("download_path", F.coalesce("final_path", "download_path"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,7 +141,12 @@ class DocumentIndex:
         running = queues.apply_changes(queue, claimed, ["canonical_url"])
         batch = batch.join(claimed.select("canonical_url"), "canonical_url", "left_semi")
         step = download_step(running, self.table("documents"), batch, body_root, layout)
-        writers.write_bodies(step.bodies.drop("copies"), f"{self.root}/bodies")
+        bodies = step.bodies.drop("copies")
+        try:
+            bodies = bodies.join(self.spark.read.parquet(f"{self.root}/bodies").select("sha256"), "sha256", "left_anti")
+        except AnalysisException:
+            pass  # the first batch: there is no body table yet
+        writers.write_bodies(bodies, f"{self.root}/bodies")
         self._update(documents=step.documents, download_queue=step.queue)
 
     def resume(self, now: Column) -> None:

@@ -94,6 +94,37 @@ def test_document_cap(spark, rows):
     assert rows(out.sightings, "url") == [("https://h.gov/d0.pdf",), ("https://h.gov/d1.pdf",), ("https://h.gov/d5.pdf",)]
 
 
+def queued(spark, rows):
+    """A frontier of queue rows: (url, depth, attempts)."""
+    return spark.createDataFrame([(u, 5, d, a) for u, d, a in rows], "url string, priority int, depth int, attempts int")
+
+
+def test_policy_attempts_and_depth_of_queued_jobs(spark):
+    busy = [("https://h.gov/busy", None, 429, {}, b""), ("https://h.gov/far", None, 200, HTML, page("/farther"))]
+    links = crawl.link_table(responses(spark, busy))
+    none = robots.host_rules(spark.createDataFrame([], "domain string, body string"))
+    frontier = queued(spark, [("https://facebook.com/", 0, 0), ("https://h.gov/busy", 0, 6), ("https://h.gov/far", 4, 0), ("https://h.gov/none", 9, 0)])
+    out = crawl.crawl(frontier, links, none, crawl.CrawlOptions(max_depth=2), now()).queue
+    got = {r.url: (r.status, r.depth) for r in out.collect()}
+    assert got == {"https://facebook.com/": ("skipped", 0), "https://h.gov/busy": ("queued", 0), "https://h.gov/far": ("completed", 4), "https://h.gov/none": ("queued", 9)}
+    wait = out.filter("url = 'https://h.gov/busy'").select((F.unix_micros("next_attempt") - F.unix_micros(now())) / 1e6).first()[0]
+    assert 32 <= wait < 96
+
+
+def test_links_of_a_response_without_time(spark):
+    links = crawl.link_table(responses(spark, SITE[:1]).withColumn("fetched_at", F.lit(None).cast("timestamp")))
+    none = robots.host_rules(spark.createDataFrame([], "domain string, body string"))
+    out = crawl.crawl(queued(spark, [("https://h.gov/", 0, 0)]), links, none, crawl.CrawlOptions(max_depth=1), now())
+    assert "https://h.gov/next" in {r.url for r in out.queue.collect()}
+
+
+def test_ties_of_time_keep_the_links_of_one_response(spark):
+    links = crawl.link_table(responses(spark, [("https://h.gov/", None, 200, HTML, page("/a")), ("https://h.gov/", None, 200, HTML, page("/b"))]))
+    none = robots.host_rules(spark.createDataFrame([], "domain string, body string"))
+    out = crawl.crawl(queued(spark, [("https://h.gov/", 0, 0)]), links, none, crawl.CrawlOptions(max_depth=1), now())
+    assert len({r.url for r in out.queue.collect()}) == 2
+
+
 def test_crawl_does_not_depend_on_partitions(spark):
     first, _ = run(spark, SITE, crawl.CrawlOptions(), ["https://h.gov"])
     spark.conf.set("spark.sql.shuffle.partitions", "3")

@@ -109,3 +109,20 @@ def test_cache_fill_and_replace(spark, rows):
     assert rows(robots.fill_cache(hosts, answers, filled), "domain") == rows(filled, "domain")
     fresh = filled.filter("domain = 'a.gov'").withColumn("body", F.lit("")).withColumn("fetched_at", F.timestamp_seconds(F.lit(9)))
     assert rows(robots.replace_cache(filled, fresh).filter("domain = 'a.gov'"), "body") == [("",)]
+
+
+def test_extra_hosts_may_be_urls(spark):
+    rules = policy.HostRules(allowed=("none.invalid",), extra=("https://WWW.fldoe.org/x", " b.org. "))
+    hosts = spark.createDataFrame([("https://www.fldoe.org/a",), ("https://c.b.org/",), ("https://fldoe.org/",)], "url string")
+    assert {r.url: r.allowed for r in policy.with_verdict(hosts, "url", rules).collect()} == {"https://www.fldoe.org/a": True, "https://c.b.org/": True, "https://fldoe.org/": False}
+
+
+def test_wildcard_patterns_without_literal_ends(spark):
+    kinds = [("allow", "*.example.o?g"), ("allow", "w*w"), ("deny", "*.state.*.us"), ("allow", "*.us"), ("allow", "[ab].x*.org")]
+    names = ["a.example.org", "a.example.com", "www", "x.state.tx.us", "y.tx.us", "a.xyz.org", "c.xyz.org", "b.example.o.g"]
+    hosts = spark.createDataFrame([(n,) for n in names], "host string")
+    found = policy.classify_hosts(hosts, spark.createDataFrame(kinds, "kind string, pattern string"))
+    rules = policy.HostRules(allowed=tuple(p for k, p in kinds if k == "allow"), denied=("*.state.*.us",))
+    want = {r.host: r.v for r in hosts.select("host", rules.verdict(F.col("host")).alias("v")).collect()}
+    assert {r.host: r.allowed for r in found.collect()} == want
+    assert [n for n in names if want[n]] == ["a.example.org", "www", "y.tx.us", "a.xyz.org", "b.example.o.g"]

@@ -53,7 +53,8 @@ def test_search_outcomes_and_provider_block(spark, rows):
     data = [("y", "q", p, s) for p, s in [(1, "running"), (2, "pending"), (3, "running"), (4, "completed"), (5, "running")]] + [("z", "q", 1, "pending")]
     searches = align(spark.createDataFrame(data, "provider string, query string, page int, status string"), schemas.SEARCHES)
     fine = spark.createDataFrame([("y", "q", 1, True, False, None, 7, None), ("y", "q", 3, False, False, 5.0, 0, "e" * 900)], "provider string, query string, page int, ok boolean, fatal boolean, retry_after double, hits int, error string").withColumn("at", now())
-    after = queues.finish_searches(searches, fine)
+    tried = searches.withColumn("attempts", F.when(F.col("status") == "running", 1).otherwise(0))
+    after = queues.finish_searches(tried, fine)
     got = {r.page: r for r in after.filter("provider = 'y'").collect()}
     assert (got[1].status, got[1].result_count, got[3].status, got[3].attempts, len(got[3].error), got[2].status) == ("completed", 7, "backoff", 1, 400, "pending")
     assert got[3].next_attempt.second == 5
@@ -129,3 +130,10 @@ def test_resume(spark, rows):
     assert {n: rows(out[n], "status") for n in ("searches", "crawl_queue", "download_queue")} == {"searches": [("pending",)], "crawl_queue": [("queued",)], "download_queue": [("queued",)]}
     again = resume(out["searches"], out["crawl_queue"], out["download_queue"], out["documents"], now())
     assert all(rows(again[n]) == rows(out[n]) for n in out)
+
+
+def test_names_go_on_after_stored_ones(spark):
+    stored = spark.createDataFrame([("s/r.pdf", "d1"), ("s/r__2.pdf", "d2"), ("s/q.pdf", "d9")], "path string, sha256 string")
+    files = spark.createDataFrame([("s/r.pdf", "d2", 1), ("s/r.pdf", "d3", 2), ("s/r.pdf", "d4", 3), ("s/new.pdf", "d5", 4), ("s/q.pdf", "d9", 5)], "dest string, sha256 string, arrived int")
+    got = {r.sha256: r.final_path for r in bodies.number_collisions(files, stored).collect()}
+    assert got == {"d2": "s/r__2.pdf", "d3": "s/r__3.pdf", "d4": "s/r__4.pdf", "d5": "s/new.pdf", "d9": "s/q.pdf"}
