@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from paperfield.llm.common import text_blocks
 
-GRAM = 5  # bytes
+GRAM = 4  # bytes
 PLAIN = np.full(256, 32, np.uint8)  # letters and bytes of non-ASCII characters stay, the rest is a gap
 PLAIN[97:123] = np.arange(97, 123)
 PLAIN[128:] = np.arange(128, 256)
@@ -49,8 +49,11 @@ def grams(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.n
     return value[place], place
 
 
-def lower_case(texts: pa.Array) -> pa.Array:
-    return pc.utf8_lower(texts.cast(pa.large_string()))
+def prepared(texts: pa.Array) -> pa.Array:
+    """Texts in lower case between gaps; null is empty."""
+    gap = pa.scalar(" ", pa.large_string())
+    lower = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    return pc.binary_join_element_wise(gap, lower, gap, pa.scalar("", pa.large_string()))
 
 
 class LanguageFilter:
@@ -104,7 +107,7 @@ def train(docs: DataFrame, usable: F.Column, fit: Fit = Fit()) -> LanguageFilter
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = np.array(batch.column(1).to_pylist())
-            for first, last, data, starts, sizes in text_blocks(lower_case(batch.column(0))):
+            for first, last, data, starts, sizes in text_blocks(prepared(batch.column(0))):
                 values, place = grams(data, starts, sizes)
                 of = langs[first:last][np.searchsorted(starts, place, "right") - 1] if len(place) else langs[:0]
                 for language in np.unique(of):
@@ -127,7 +130,7 @@ def identify(docs: DataFrame, trained: LanguageFilter, label: str = "lang_pred",
     All n-grams of a text are looked up; each language's number of hits is corrected for the filter's false positives,
     and the largest decides, the first language in alphabetical order among equals. The score is the corrected share
     of n-grams that the language has. Texts that are null or have no letter are ``und`` with score 0, as are all texts
-    if no language is known; texts too short for an n-gram count as surrounded by gaps. Other columns pass through;
+    if no language is known. Texts count as surrounded by gaps. Other columns pass through;
     those of the names of the new ones are replaced.
     """
     docs = docs.drop(label, score)
@@ -143,9 +146,7 @@ def identify(docs: DataFrame, trained: LanguageFilter, label: str = "lang_pred",
         names = np.array(model.languages, object)
         for batch in batches:
             labels, scores = [], []
-            gap = pa.scalar("  ", pa.large_string())
-            padded = pc.binary_join_element_wise(gap, lower_case(pc.fill_null(batch.column(place), "")), gap, pa.scalar("", pa.large_string()))
-            for first, last, data, starts, sizes in text_blocks(padded, 1 << 18):
+            for first, last, data, starts, sizes in text_blocks(prepared(batch.column(place)), 1 << 18):
                 values, at = grams(data, starts, sizes)
                 owner = np.searchsorted(starts, at, "right") - 1
                 total = np.bincount(owner, minlength=last - first)[:, None]
