@@ -92,15 +92,16 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, shingle:
     start = F.col("at") - F.col("inner")
     cuts = hits.filter("at >= 0").join(prefixes, "token").filter((start >= 0) & (start + F.size("words") <= F.col("n_words")))
     cuts = cuts.select("_id", start.alias("start"), "window_id", F.col("words").alias("want")).groupBy("_id").agg(F.collect_list(F.struct("start", "window_id", "want")).alias("cuts"))
-    texts = docs.join(cuts, "_id").select("_id", words("text").alias("w"), "cuts")
-    true = F.filter("cuts", lambda c: F.slice(F.col("w"), c["start"] + 1, F.size(c["want"])) == c["want"])
+    texts = docs.join(cuts, "_id").select("_id", F.array(words("text")).alias("once"), "cuts")
+    fits = lambda w: lambda c: F.slice(w, c["start"] + 1, F.size(c["want"])) == c["want"]
     place = lambda c: F.sequence(c["start"], c["start"] + F.size(c["want"]) - 1)
-    covered = F.size(F.array_distinct(F.flatten(F.transform("found", place)))).cast("long").alias("n_hit")
-    found = texts.select("_id", true.alias("found")).filter(F.size("found") > 0)
-    found = found.select("_id", covered, F.array_distinct(F.transform("found", lambda c: c["window_id"])).alias("windows"))
-    having = found.select("_id", F.explode("windows").alias("window_id")).join(owners, "window_id")
-    having = having.groupBy("_id").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
-    joined = every.join(found.select("_id", "n_hit"), "_id", "left").join(having, "_id", "left")
+    covered = lambda x: F.size(F.array_distinct(F.flatten(F.transform(x, place)))).cast("long")
+    kept = lambda x: F.struct(covered(x).alias("n_hit"), F.array_distinct(F.transform(x, lambda c: c["window_id"])).alias("windows"))
+    # Arguments of lambdas are made once; a column that only a lambda reads would be split anew for each cut.
+    found = F.transform(F.transform("once", lambda w: F.filter("cuts", fits(w))), kept)
+    found = texts.select("_id", F.inline(found)).select("_id", "n_hit", F.explode("windows").alias("window_id")).join(owners, "window_id")
+    having = found.groupBy("_id").agg(F.max("n_hit").alias("n_hit"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
+    joined = every.join(having, "_id", "left")
     none = F.array().cast("array<string>")
     result = joined.select("_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", none).alias("item_ids"))
     return named(result, names)
