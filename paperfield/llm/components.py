@@ -30,7 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
     only, writes them to the shared folder and needs a number of rounds that grows with the logarithm of the nodes.
     Rows with a null end are left out.
     """
-    edges = edges.select("a", "b").filter("a <> b")
+    edges = materialize(edges.select("a", "b").filter("a <> b"), "edges")  # each step reads its edges more than once
     known = None
     while True:
         edges = materialize(_stars(_stars(edges, True), False), "stars")

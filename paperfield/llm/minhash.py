@@ -236,7 +236,8 @@ def near_duplicates(docs: DataFrame, settings: NearDuplicates = NearDuplicates()
     found = materialize(sketches(docs, settings), "sketches")
     full = found.filter("n_shingles > 0")
     classes = full.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    reps = full.join(classes.select("set_id", F.col("rep").alias("doc_id")), ["set_id", "doc_id"], "left_semi").dropDuplicates(["doc_id", "set_id"])
+    chosen = classes.select(F.col("rep").alias("doc_id"), F.col("set_id").alias("own"))
+    reps = full.join(chosen, "doc_id").filter("set_id = own").dropDuplicates(["doc_id", "set_id"])  # by id, as a set may be that of many
     labels = components(links(docs, reps, settings))
     named = found.select("doc_id", "n_shingles", "set_id").join(classes, "set_id", "left").join(labels, F.col("rep") == F.col("node"), "left")
     smallest = F.coalesce("component", "rep", "doc_id")
