@@ -77,7 +77,7 @@ class Network:
         first = np.searchsorted(owner, np.arange(n))
         high = np.maximum(maxima, 0)
         mean = np.add.reduceat(high, first, axis=0) / np.bincount(owner, minlength=n)[:, None]
-        return np.concatenate([mean, np.maximum.reduceat(high, first, axis=0)], axis=1).astype(np.float32)
+        return np.concatenate([mean, np.maximum.reduceat(high, first, axis=0)], axis=1)
 
     def scores(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         maxima, *_, owner, _ = self.pooled(data, starts, sizes)
@@ -100,7 +100,7 @@ class Network:
         order = np.lexsort((np.arange(len(owner)), owner))
         for f in range(FILTERS):
             hit = order[top[order, f]]
-            first = hit[np.append(True, owner[hit[1:]] != owner[hit[:-1]])]
+            first = hit[np.append(True, owner[hit[1:]] != owner[hit[:-1]])[: len(hit)]]
             to_max[first, f] += into[owner[first], FILTERS + f]
         to_max *= maxima > 0
         at = np.stack([low[c] + values[low[c] : high[c]].argmax(axis=0) for c in range(len(low))])
