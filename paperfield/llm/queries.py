@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperfield.llm import langid, packing, quality, warczip
+from paperfield.llm import bpe, langid, merkle, packing, quality, warczip
 from paperfield.llm.decontam import contamination, is_contaminated
+from paperfield.llm.divergence import source_divergence
 from paperfield.llm.kdshard import shard_documents
 from paperfield.llm.minhash import NearDuplicates, near_duplicates
 from paperfield.llm.simhash import fingerprint_documents
@@ -165,3 +166,47 @@ ORACLES["op9_benchmark_contamination"] = f"""with d as (select doc_id, regexp_ex
 @query
 def op10_kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(table(spark, folder, "documents"), shards=40)
+
+
+@query
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(table(spark, folder, "documents"))
+
+
+ORACLES["op11_source_divergence"] = r"""with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+  t as (select r, lang, source, unnest(w) as term from d),
+  k as (select lang, term from t group by all having count(distinct r) >= 3),
+  v as (select lang, count(*) as v from k group by all),
+  c as (select lang, source, term, count(*) as c from t join k using (lang, term) group by all),
+  n as (select lang, source, sum(c) as n from c group by all),
+  g as (select distinct lang, source from d),
+  p as (select g.lang, g.source, k.term, coalesce(c, 0) as c, 1 + (1000000000::hugeint * (coalesce(c, 0) + 1)) // (coalesce(n, 0) + v)::hugeint as p
+    from g join k using (lang) join v using (lang) left join n using (lang, source) left join c using (lang, source, term)),
+  q as (select lang, term, 1 + (1000000000::hugeint * (ct + 1)) // (nt + v)::hugeint as q from (select lang, term, sum(c) as ct from c group by all)
+    join (select lang, sum(c) as nt from c group by all) using (lang) join v using (lang)),
+  s as (select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+  rows as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+      from g a join g b on a.lang = b.lang and a.source <> b.source left join s on s.lang = a.lang and s.source = a.source and s.item = b.source
+    union all select p.lang, p.source, 'term', term, ((p.p - q.q) * (p.p - q.q)) // q.q from p join q using (lang, term) where c > 0 and p.p > q.q)
+  select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+  from (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from rows) where part = 'pair' or rank <= 200"""
+
+
+@query
+def op12_two_tier_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = bpe.decode_documents(bpe.encode_documents(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    ids = F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(tampered, F.translate("text", upper, upper.lower())).otherwise(F.col("text"))
+    found = merkle.manifest(table(spark, folder, "documents"), received=merkle.leaf_digest(text=text))
+    again = merkle.folded(F.col("received"), F.col("path"))
+    found = found.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), again.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
