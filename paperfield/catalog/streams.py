@@ -1,18 +1,33 @@
-"""Streaming queries: the given tables read as streams of files."""
+"""Streaming queries: the given tables, written in several files each, read as streams of several batches."""
 
 from pyspark.sql import functions as F
 
+from paperfield.catalog.crawl import PART_CRAWL, part_crawl, part_site
 from paperfield.catalog.registry import NOW, RULES, plain, query, table
-from paperfield.streaming import counts, dedup, ingest, leases, retries
+from paperfield.session import new_location
+from paperfield.streaming import counts, crawl, dedup, ingest, leases, retries
 from paperfield.streaming.runner import file_stream
 
 
-def _stream(spark, folder, name):
-    return file_stream(spark, folder, table(spark, folder, name).schema, f"{name}.parquet")
+BATCHES = 4
 
 
-def _events(spark, folder):
-    return _stream(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+def pieces(spark, rows, piece, name):
+    """``rows`` as a stream of ``BATCHES`` batches; ``piece`` is the number of a row's batch."""
+    path = new_location(spark, name)
+    for number in range(BATCHES):
+        rows.filter(piece == number).write.mode("append").parquet(path)
+    files = len(spark.read.parquet(path).inputFiles())
+    return file_stream(spark, path, rows.schema, files_per_batch=-(-files // BATCHES))
+
+
+def _events(spark, folder, late=False):
+    """The events in order of time; with ``late``, every batch has events of the whole time."""
+    rows = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    if late:
+        return pieces(spark, rows, F.col("event_id") % BATCHES, "events")
+    count = rows.agg(F.max("event_id") + 1).first()[0] or 1
+    return pieces(spark, rows, F.floor(F.col("event_id") * BATCHES / count), "events")
 
 
 @query(
@@ -25,11 +40,11 @@ def stream_daily_counts(spark, folder):
     return found.select(plain("start"), "event_type", "n")
 
 
-@query("select 'https://q' || user_id || '.example.gov/' || event_type as url, min(event_id) as event_id from events group by 1")
+@query("select 'https://q' || user_id || '.example.gov/' || event_type as url, min((event_id % 4, event_id))[2] as event_id from events group by 1")
 def stream_dedup(spark, folder):
-    """First event of every address."""
-    rows = _events(spark, folder).select(F.format_string("https://q%d.example.gov/%s", "user_id", "event_type").alias("url"), "event_id")
-    return dedup.first_seen_stream(rows, "url", ["event_id"])
+    """An event of every address: the first of the earliest batch that has the address."""
+    rows = _events(spark, folder, late=True).select(F.format_string("https://q%d.example.gov/%s", "user_id", "event_type").alias("url"), "event_id")
+    return dedup.first_seen_stream(rows, "url", ["event_id"], buckets=8, deltas=1)
 
 
 _LEASES = """with e as (select 'job ' || user_id as job, ts, event_id, event_type in ('view','click') as claim, lead(ts) over (partition by user_id order by ts, event_id) as next_ts from events)
@@ -79,8 +94,8 @@ def _shown(states):
 
 @query(_RETRIES)
 def stream_retry(spark, folder):
-    """State of every job after its outcome events."""
-    return _shown(retries.retry_states_stream(_outcomes(_events(spark, folder))))
+    """State of every job after its outcome events, most of which come late."""
+    return _shown(retries.retry_states_stream(_outcomes(_events(spark, folder, late=True)), buckets=8))
 
 
 @query(_RETRIES)
@@ -97,7 +112,8 @@ def retry_history(spark, folder):
 def stream_ingest(spark, folder):
     """Hits streamed into the document index and the crawl queue."""
     number = (F.col("doc_id") % 200).cast("string")
-    hits = _stream(spark, folder, "documents").select(
+    docs = pieces(spark, table(spark, folder, "documents").select("doc_id", "source"), F.col("doc_id") % BATCHES, "hits")
+    hits = docs.select(
         F.lit("yahoo").alias("provider"),
         F.concat(F.lit("https://"), "source", F.lit(".example.com/"), number, F.when(F.col("doc_id") % 2 == 0, ".pdf?utm_id=1").otherwise("#x")).alias("url"),
     )
@@ -105,3 +121,12 @@ def stream_ingest(spark, folder):
     docs = out.documents.select(F.col("canonical_url").alias("url"), F.lit("document").alias("origin"), plain("first_seen"))
     queue = out.crawl_queue.select("url", F.lit("crawl").alias("origin"), plain("added_at"))
     return docs.withColumnRenamed("first_seen", "added_at").unionByName(queue)
+
+
+@query(PART_CRAWL)
+def stream_crawl(spark, folder):
+    """The crawl of ``crawl_levels`` over a stream: the second answer of a part comes in the last batch."""
+    site = part_site(spark, folder)
+    piece = F.when(F.col("try") > 0, BATCHES - 1).otherwise(F.col("p_partkey") % BATCHES)
+    answers = pieces(spark, site, piece, "responses").drop("p_partkey", "try")
+    return part_crawl(spark, folder, lambda seeds, rules, options, at: crawl.crawl_stream(answers, seeds, rules, options, at, buckets=8))

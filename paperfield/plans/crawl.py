@@ -8,7 +8,7 @@ emptiness reaches the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from paperfield.functions.content import content_class, crawl_retry_after, decode_body, is_pdf, url_looks_like_pdf
 from paperfield.functions.retry import crawl_retry_at, is_throttled, plus_seconds
-from paperfield.functions.urls import canonical_url, domain_of
-from paperfield.operators.links import extract_links
+from paperfield.functions.urls import bind, canonical_links, canonical_url, domain_of
+from paperfield.operators.links import extract_links, link_refs
 from paperfield.operators.policy import HostRules, with_verdict
 from paperfield.operators.robots import with_robots_verdict
 from paperfield.operators.skew import first_per_key, lookup, rank_within, top_per_key
@@ -54,11 +54,8 @@ class CrawlResult:
     sightings: DataFrame
 
 
-def link_table(responses: DataFrame) -> DataFrame:
-    """One pass over the responses: facts of each, repeated for each of its links.
-
-    A response without links has one row with ``pos`` NULL.  ``response`` tells responses apart.
-    """
+def _response_facts(responses: DataFrame) -> DataFrame:
+    """Facts of each response, and its HTML where it is a page whose links count."""
     header = F.col("headers")
     ctype = header["Content-Type"]
     final = F.coalesce(F.nullif(canonical_url(F.col("final_url")), F.lit("")), F.col("request"))
@@ -71,7 +68,7 @@ def link_table(responses: DataFrame) -> DataFrame:
         .withColumn("response", F.xxhash64("request_url", "final_url", "status", "fetched_at", "body", F.map_entries("headers")))
     )
     html = ~F.col("is_pdf") & (F.col("kind") == "html") & ~is_throttled(F.col("status"))
-    compact = facts.select(
+    return facts.select(
         "request",
         "final",
         F.col("status").alias("http_status"),
@@ -82,13 +79,33 @@ def link_table(responses: DataFrame) -> DataFrame:
         "response",
         F.when(html, decode_body(F.col("body"), ctype)).alias("_html"),
     )
-    return extract_links(compact, "_html", "final", keep_pages=True).drop("ref")
+
+
+def link_table(responses: DataFrame) -> DataFrame:
+    """One pass over the responses: facts of each, repeated for each of its links.
+
+    A response without links has one row with ``pos`` NULL.  ``response`` tells responses apart.
+    """
+    return extract_links(_response_facts(responses), "_html", "final", keep_pages=True).drop("ref")
+
+
+def page_table(responses: DataFrame) -> DataFrame:
+    """One pass over the responses: facts of each, with the set of its ``links``."""
+    found = bind(link_refs(F.col("_html")), lambda refs: canonical_links(refs, F.col("final")))
+    links = F.array_distinct(F.filter(found, lambda link: link != ""))
+    facts = _response_facts(responses)
+    return facts.select(*[c for c in facts.columns if c != "_html"], F.coalesce(links, F.array().cast("array<string>")).alias("links"))
+
+
+def newest_response() -> list[Column]:
+    """Order of the responses of a request URL, the latest first."""
+    return [F.desc("fetched_at"), F.col("final"), F.col("http_status"), F.col("response")]
 
 
 def newest_facts(links: DataFrame) -> DataFrame:
     """The latest response of each request URL."""
     single = links.filter(F.col("pos").isNull() | (F.col("pos") == 1)).drop("pos", "link")
-    return first_per_key(single, ["request"], [F.desc("fetched_at"), F.col("final"), F.col("http_status"), F.col("response")])
+    return first_per_key(single, ["request"], newest_response())
 
 
 def seed_frontier(seeds: DataFrame, rules: HostRules, extra_hosts: DataFrame | None = None) -> DataFrame:
@@ -117,7 +134,7 @@ def domain_cap(jobs: DataFrame, cap: int, used: DataFrame | None = None, order:
     return ranked
 
 
-def _page_limits(yields: DataFrame, used: DataFrame, cap: int) -> DataFrame:
+def page_limits(yields: DataFrame, used: DataFrame, cap: int) -> DataFrame:
     """Per domain, the order key of the last job that still fits; NULL key: nothing fits.
 
     A job is let through while fewer than ``cap`` HTML pages of its domain come before it.
@@ -160,14 +177,20 @@ def crawl(
     start = materialize(start.select("url", "priority", "depth", F.coalesce("attempts", F.lit(0)).alias("attempts")), "frontier")
     done: list[DataFrame] = []
     seen = [start.select("url")] + ([queue.select("url")] if queue is not None else [])
+    links_of: list[DataFrame] = []
+
+    def limits_of(candidates: DataFrame) -> DataFrame:
+        return _level_limits(candidates, known_pages, done, options.max_pages)
+
     level = start.filter(F.col("depth") == 0)
     depth = 0
     while True:
-        judged = materialize(_judge(level, facts, robots_rules, options, known_pages, done, now, extra_hosts), f"level{depth}")
+        judged = materialize(judge(level, facts, robots_rules, options, limits_of, now, extra_hosts), f"level{depth}")
         done.append(judged)
         if depth >= options.max_depth:
             break
-        followed = _follow(judged, edges, options, extra_hosts)
+        followed = materialize(_follow(judged, edges, options, extra_hosts), "followed")
+        links_of.append(followed)
         fresh = first_per_key(
             followed.filter(~url_looks_like_pdf(F.col("link"))).select(F.col("link").alias("url")), ["url"], [F.col("url")]
         ).join(reduce(DataFrame.unionByName, seen), "url", "left_anti")
@@ -178,23 +201,31 @@ def crawl(
         if not found.head(1) and not start.filter(F.col("depth") >= depth).head(1):
             break
     deeper = start.filter(F.col("depth") > options.max_depth)
-    done.append(materialize(_judge(deeper, facts, robots_rules, options, known_pages, done, now, extra_hosts), "deeper"))
+    if deeper.head(1):
+        done.append(materialize(judge(deeper, facts, robots_rules, options, limits_of, now, extra_hosts), "deeper"))
     everything = reduce(DataFrame.unionByName, done)
-    followed = _follow(everything.filter(F.col("depth") < options.max_depth), edges, options, extra_hosts)
+    linked = [followed.filter(url_looks_like_pdf(F.col("link"))) for followed in links_of]
+    found = found_documents(everything, reduce(DataFrame.unionByName, linked) if linked else None)
+    return crawl_result(everything, found, options, documents, now)
+
+
+def crawl_result(everything: DataFrame, found: DataFrame, options: CrawlOptions, documents: DataFrame | None, now: Column) -> CrawlResult:
+    """The outcome of a crawl from its judged jobs and the documents it found."""
     return CrawlResult(
         queue=everything.select("url", "depth", "priority", "status", "http_status", "next_attempt"),
         urls=_remembered(everything, now),
-        sightings=_document_sightings(everything, followed, options, documents, now),
+        sightings=_document_sightings(found, options, documents, now),
     )
 
 
-def _judge(
+def judge(
     level: DataFrame, facts: DataFrame, robots_rules: DataFrame, options: CrawlOptions,
-    known_pages: DataFrame, done: Sequence[DataFrame], now: Column, extra_hosts: DataFrame | None,
+    limits_of: Callable[[DataFrame], DataFrame], now: Column, extra_hosts: DataFrame | None,
 ) -> DataFrame:
     """Statuses of one level: the host policy decides first, then robots rules, caps and the response.
 
-    A job whose response was not captured stays queued.
+    A job whose response was not captured stays queued.  ``limits_of`` gives the page limits (:func:`page_limits`) for
+    the jobs that would be pages.
     """
     joined = level.join(facts.withColumnRenamed("request", "url"), "url", "left")
     ruled = with_verdict(joined, "url", options.rules, extra_hosts)
@@ -202,7 +233,7 @@ def _judge(
     captured, throttled = F.col("http_status").isNotNull(), is_throttled(F.col("http_status"))
     open_ = F.col("allowed") & F.col("robots_allowed")
     is_page = open_ & captured & ~throttled & ~F.col("is_pdf") & (F.col("kind") == "html")
-    limits = _level_limits(checked.filter(is_page), known_pages, done, options.max_pages)
+    limits = limits_of(checked.filter(is_page))
     marked = lookup(checked, limits.withColumn("_limited", F.lit(True)), "domain")
     key = F.struct((-F.col("priority")).alias("p"), F.col("url"))
     over = F.coalesce("_limited", F.lit(False)) & (F.col("last_key").isNull() | (key > F.col("last_key")))
@@ -232,7 +263,7 @@ def _level_limits(candidates: DataFrame, known_pages: DataFrame, done: Sequence[
     used = pages.groupBy("domain").agg(F.count("*").alias("n"))
     keyed = candidates.select(domain_of(F.col("final")).alias("domain"), "final", "priority", "url")
     yields = first_per_key(keyed, ["final"], level_order()).join(pages.select("final"), "final", "left_anti")
-    return _page_limits(yields, used, cap)
+    return page_limits(yields, used, cap)
 
 
 def _follow(judged: DataFrame, edges: DataFrame, options: CrawlOptions, extra_hosts: DataFrame | None) -> DataFrame:
@@ -260,17 +291,20 @@ def _remembered(everything: DataFrame, now: Column) -> DataFrame:
     )
 
 
-def _document_sightings(
-    everything: DataFrame, followed: DataFrame, options: CrawlOptions, documents: DataFrame | None, now: Column
-) -> DataFrame:
-    direct = everything.filter((F.col("status") == "completed") & F.col("is_pdf")).select(
+def found_documents(judged: DataFrame, linked: DataFrame | None) -> DataFrame:
+    """(url, source_url, depth, domain): answered documents and links (final, depth, link) to documents, each once."""
+    found = judged.filter((F.col("status") == "completed") & F.col("is_pdf")).select(
         F.col("final").alias("url"), F.col("url").alias("source_url"), "depth", domain_of(F.col("url")).alias("domain")
     )
-    linked = followed.filter(url_looks_like_pdf(F.col("link"))).select(
-        F.col("link").alias("url"), F.col("final").alias("source_url"), (F.col("depth") + 1).alias("depth"),
-        domain_of(F.col("link")).alias("domain"),
-    )
-    found = first_per_key(direct.unionByName(linked), ["url"], [F.col("depth"), F.col("source_url")])
+    if linked is not None:
+        found = found.unionByName(linked.select(
+            F.col("link").alias("url"), F.col("final").alias("source_url"), (F.col("depth") + 1).alias("depth"),
+            domain_of(F.col("link")).alias("domain"),
+        ))
+    return first_per_key(found, ["url"], [F.col("depth"), F.col("source_url")])
+
+
+def _document_sightings(found: DataFrame, options: CrawlOptions, documents: DataFrame | None, now: Column) -> DataFrame:
     order = [F.col("depth"), F.col("url")]
     if documents is None:
         used = None

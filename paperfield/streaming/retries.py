@@ -1,56 +1,55 @@
-"""Retry state of jobs folded from their outcome events."""
+"""Retry state of jobs folded from their outcome events, whatever the order in which the events come."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType, TimestampType
 
 from paperfield.functions.retry import DOWNLOAD_RETRIES, backoff_seconds, plus_seconds
-from paperfield.session import new_location
-from paperfield.streaming.runner import VersionedTable, run_available
+from paperfield.session import materialize, new_location
+from paperfield.streaming.runner import run_available
+from paperfield.streaming.state import BUCKETS, BucketedState
 
-STATE = StructType(
-    [
-        StructField("job", StringType()),
-        StructField("status", StringType()),
-        StructField("failures", IntegerType()),
-        StructField("changed_at", TimestampType()),
-    ]
-)
+_EVENT = StructType([StructField("ts", TimestampType()), StructField("event_id", LongType())])
+HISTORY = StructType([StructField("job", StringType()), StructField("won", _EVENT), StructField("failed", ArrayType(_EVENT))])
 
 
-def fold_outcomes(events: DataFrame, state: DataFrame, retries: int = DOWNLOAD_RETRIES) -> DataFrame:
-    """Next state from outcome events (job, ts, event_id, ok) and the state so far.
+def outcome_history(events: DataFrame, retries: int = DOWNLOAD_RETRIES) -> DataFrame:
+    """What can matter of the outcome events (job, ts, event_id, ok) of each job: first success, first failures.
 
-    A job ends with its first success or its failure number ``retries + 1``.  So its first success
-    and first ``retries + 1`` failures are all that can matter; the rest is dropped before the
-    shuffle, and what a task folds is bounded however many events a job has.
+    A job ends with its first success or its failure number ``retries + 1``, so later ones are dropped before the
+    shuffle, and what a task holds of a job is bounded however many events it has.
     """
     window = Window.partitionBy("job", "ok").orderBy("ts", "event_id")
-    relevant = events.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") <= retries + 1)
-    relevant = relevant.filter(~F.col("ok") | (F.col("_rn") == 1))
-    grouped = relevant.groupBy("job").agg(
-        F.sort_array(F.collect_list(F.struct("ts", "event_id", "ok"))).alias("_events")
-    )
-    joined = state.join(grouped, "job", "full_outer")
-    start = F.struct(
-        F.coalesce("status", F.lit("queued")).alias("status"),
-        F.coalesce("failures", F.lit(0)).alias("failures"),
-        F.col("changed_at").alias("changed_at"),
+    ranked = events.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") <= retries + 1)
+    event = F.struct("ts", F.col("event_id").cast("long").alias("event_id"))
+    return ranked.groupBy("job").agg(
+        F.min(F.when(F.col("ok"), event)).alias("won"), F.array_sort(F.collect_list(F.when(~F.col("ok"), event))).alias("failed")
     )
 
-    def step(acc: Column, event: Column) -> Column:
-        failures = acc["failures"] + 1
-        tried = F.struct(
-            F.when(event["ok"], "completed").when(failures > retries, "failed").otherwise("queued").alias("status"),
-            F.when(event["ok"], acc["failures"]).otherwise(failures).alias("failures"),
-            event["ts"].alias("changed_at"),
-        )
-        return F.when(acc["status"] == "queued", tried).otherwise(acc)
 
-    events_or_none = F.coalesce("_events", F.array().cast(grouped.schema["_events"].dataType))
-    return joined.select("job", F.aggregate(events_or_none, start, step).alias("_s")).select("job", "_s.*")
+def merge_histories(old: DataFrame, new: DataFrame, retries: int = DOWNLOAD_RETRIES) -> DataFrame:
+    """Histories of the jobs of ``new`` with what ``old`` has of them; the order of the two does not matter.
+
+    An event that both have counts once.
+    """
+    earlier = old.select("job", F.col("won").alias("_won"), F.col("failed").alias("_failed"))
+    joined = new.join(earlier, "job", "left")
+    failed = F.array_distinct(F.concat("failed", F.coalesce("_failed", F.array().cast(ArrayType(_EVENT)))))
+    won = F.when(F.col("won").isNull() | (F.col("_won") < F.col("won")), F.col("_won")).otherwise(F.col("won"))
+    return joined.select("job", won.alias("won"), F.slice(F.array_sort(failed), 1, retries + 1).alias("failed"))
+
+
+def job_states(histories: DataFrame, retries: int = DOWNLOAD_RETRIES) -> DataFrame:
+    """(job, status, failures, changed_at, next_attempt) of each job."""
+    before = F.filter("failed", lambda f: F.col("won").isNull() | (f < F.col("won")))
+    tried = histories.select("job", "won", before.alias("_f")).withColumn("failures", F.size("_f"))
+    lost = F.col("failures") > retries
+    status = F.when(lost, "failed").when(F.col("won").isNotNull(), "completed").otherwise("queued")
+    last = F.when(F.col("failures") > 0, F.element_at("_f", -1)["ts"])
+    at: Column = F.when(lost | F.col("won").isNull(), last).otherwise(F.col("won.ts"))
+    return with_next_attempt(tried.select("job", status.alias("status"), "failures", at.alias("changed_at")))
 
 
 def with_next_attempt(state: DataFrame) -> DataFrame:
@@ -62,16 +61,17 @@ def with_next_attempt(state: DataFrame) -> DataFrame:
 
 def retry_states(events: DataFrame, retries: int = DOWNLOAD_RETRIES) -> DataFrame:
     """Batch form."""
-    return with_next_attempt(fold_outcomes(events, events.sparkSession.createDataFrame([], STATE), retries))
+    return job_states(outcome_history(events, retries), retries)
 
 
-def retry_states_stream(stream: DataFrame, root: str | None = None, retries: int = DOWNLOAD_RETRIES) -> DataFrame:
-    """The same over a stream, one version of the state per batch."""
+def retry_states_stream(stream: DataFrame, root: str | None = None, retries: int = DOWNLOAD_RETRIES, buckets: int = BUCKETS) -> DataFrame:
+    """The same over a stream.  Histories are merged in their buckets, so late events give what the batch form gives."""
     spark = stream.sparkSession
     root = root or new_location(spark, "retries")
-    state = VersionedTable(spark, f"{root}/state", STATE)
+    state = BucketedState(spark, f"{root}/state", HISTORY, ["job"], buckets=buckets)
 
     def handle(batch: DataFrame, number: int) -> None:
-        state.write(fold_outcomes(batch, state.version(number - 1), retries), number)
+        new = materialize(outcome_history(batch, retries), "outcomes")
+        state.write(merge_histories(state.lookup(new, number - 1), new, retries), number)
 
-    return with_next_attempt(state.version(run_available(stream, handle, f"{root}/checkpoint")))
+    return job_states(state.read(run_available(stream, handle, f"{root}/checkpoint")), retries)

@@ -64,7 +64,7 @@ if __name__ == "__main__":
         try:
             problem = compare(spark, con, folder, QUERIES[name], ORACLES.get(name))
         except Exception as exc:  # report and go on
-            problem = f"{type(exc).__name__}: {str(exc)[:600]}"
+            problem = f"{type(exc).__name__}: {str(exc)[:6000]}"
         failed += problem is not None
         print(f"{'ok  ' if problem is None else 'FAIL'} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
     print(f"{len(names)} queries, {failed} failed")
