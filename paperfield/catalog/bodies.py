@@ -6,6 +6,7 @@ from paperfield import schemas
 from paperfield.catalog.registry import (
     AGENCY_ROWS,
     DOCUMENT_ROWS,
+    NOW,
     agency_rows,
     document_rows,
     now,
@@ -18,6 +19,7 @@ from paperfield.functions.urls import canonical_url
 from paperfield.operators import bodies, status, tables
 from paperfield.operators.agencies import prepare_agencies
 from paperfield.plans.download import download_step
+from paperfield.plans.index import DocumentIndex
 from paperfield.session import materialize, new_location
 from paperfield.sources import readers, writers
 
@@ -83,10 +85,13 @@ def part_assembly(spark, folder):
 
 @query(
     """with files as (select 'root/' || lang || '/' || (doc_id % 5) || case when doc_id % 2 = 0 then '.pdf' else '' end as dest, sha256(text) as sha256, min(doc_id) as arrived from documents group by 1, 2),
-    ranked as (select *, row_number() over (partition by dest order by arrived, sha256) as copy_no from files)
-    select dest, sha256, copy_no, case when copy_no = 1 then dest when dest like '%.pdf' then replace(dest, '.pdf', '') || '__' || copy_no || '.pdf' else dest || '__' || copy_no || '.pdf' end as final_path from ranked"""
+    ranked as (select *, replace(dest, '.pdf', '') as stem, row_number() over (partition by dest order by arrived, sha256) as nth from files),
+    rest as (select stem, sha256, 1 + row_number() over (partition by stem order by min(arrived), sha256) as copy_no from ranked where nth > 1 group by stem, sha256)
+    select dest, r.sha256, case when nth = 1 then 1 else copy_no end as copy_no, case when nth = 1 then dest else r.stem || '__' || copy_no || '.pdf' end as final_path
+    from ranked r left join rest on nth > 1 and rest.stem = r.stem and rest.sha256 = r.sha256"""
 )
 def name_collisions(spark, folder):
+    """Names ``n`` and ``n.pdf`` number alike, so they share one series of numbers."""
     tail = F.when(F.col("doc_id") % 2 == 0, ".pdf").otherwise("")
     files = document_rows(spark, folder).select(
         F.concat(F.lit("root/"), "state", F.lit("/"), (F.col("doc_id") % 5).cast("string"), tail).alias("dest"),
@@ -96,6 +101,73 @@ def name_collisions(spark, folder):
     return bodies.number_collisions(files).select("dest", "sha256", "copy_no", "final_path")
 
 
+_NAMED = """files as (select doc_id, 'd/' || lang || case when doc_id % 4 = 3 then '__' || (2 + doc_id % 9) else '' end || '.pdf' as dest, sha256(text) as sha256, doc_id % 2 as batch from documents)"""
+
+
+@query(
+    f"""with {_NAMED}, one as (select dest, sha256, min(doc_id) as arrived from files where batch = 0 group by 1, 2),
+    one_n as (select *, row_number() over (partition by dest order by arrived) as n from one),
+    one_p as (select dest, sha256, case when n = 1 then dest else replace(dest, '.pdf', '__' || n || '.pdf') end as final_path from one_n),
+    two as (select dest, sha256, min(doc_id) as arrived from files where batch = 1 group by 1, 2),
+    stored as (select final_path as path, sha256 from one_p),
+    plain as (select t.*, row_number() over (partition by dest order by arrived) = 1 and dest not in (select path from stored) or exists (select 1 from stored s where s.path = t.dest and s.sha256 = t.sha256) as own from two t),
+    names as (select path, sha256 from stored union select dest, sha256 from plain where own),
+    numbers as (select regexp_replace(path, '__[0-9]+[.]pdf$', '.pdf') as family, cast(regexp_extract(path, '__([0-9]+)[.]pdf$', 1) as bigint) as number, sha256 from names where regexp_matches(path, '__[0-9]+[.]pdf$')),
+    known as (select family, sha256, min(number) as number from numbers group by 1, 2),
+    asked as (select p.dest, p.sha256, k.number from plain p left join known k on k.family = p.dest and k.sha256 = p.sha256 where not own),
+    new as (select dest, sha256, row_number() over (partition by dest order by arrived) as k from plain p where not own and not exists (select 1 from known k where k.family = p.dest and k.sha256 = p.sha256)),
+    free as (select dest, n, row_number() over (partition by dest order by n) as k from (select distinct dest from new), range(2, 100000) r(n) where not exists (select 1 from numbers x where x.family = dest and x.number = n)),
+    given as (select new.dest, new.sha256, free.n from new join free on free.dest = new.dest and free.k = new.k)
+    select 0 as batch, dest, sha256, final_path from one_p
+    union all select 1, dest, sha256, dest from plain where own
+    union all select 1, a.dest, a.sha256, replace(a.dest, '.pdf', '__' || coalesce(a.number, g.n) || '.pdf') from asked a left join given g on g.dest = a.dest and g.sha256 = a.sha256"""
+)
+def free_names(spark, folder):
+    """Names of two batches: plain ones that look numbered, and numbers that go into the gaps of what is taken."""
+    docs = document_rows(spark, folder)
+    looks = F.when(F.col("doc_id") % 4 == 3, F.concat(F.lit("__"), (2 + F.col("doc_id") % 9).cast("string"))).otherwise("")
+    files = docs.select(F.concat(F.lit("d/"), "state", looks, F.lit(".pdf")).alias("dest"), sha256_hex(F.col("body")).alias("sha256"), F.col("doc_id").alias("arrived"))
+    first = materialize(bodies.number_collisions(files.filter("arrived % 2 = 0")), "first")
+    second = bodies.number_collisions(files.filter("arrived % 2 = 1"), first.select(F.col("final_path").alias("path"), "sha256"))
+    both = first.withColumn("batch", F.lit(0)).unionByName(second.withColumn("batch", F.lit(1)))
+    return both.select("batch", "dest", "sha256", "final_path")
+
+
+_RANGES = """select doc_id, case when doc_id % 4 = 3 then sha256('') else sha256(text) end as sha256, case when doc_id % 4 = 3 then cast(0 as bigint) else cast(octet_length(encode(text)) as bigint) end as content_length,
+      doc_id % 4 <> 3 as whole, case doc_id % 4 when 3 then cast(0 as bigint) when 2 then cast(2 as bigint) else cast(3 as bigint) end as n_parts from documents where octet_length(encode(text)) >= 30"""
+
+
+@query(_RANGES)
+def part_ranges(spark, folder):
+    """Bodies from byte ranges that overlap or leave gaps, in two batches; the parts of a body with a gap stay open.
+
+    By remainder of the id: 0 three overlapping ranges in one batch; 1 the same over two batches, the middle last; 2 a
+    stale part before an answer that starts anew; 3 a body whose beginning never comes.
+    """
+    docs = document_rows(spark, folder).filter(F.length("body") >= 30).withColumn("n", F.length("body").cast("long"))
+    a, b = F.floor(F.col("n") / 3), F.floor(F.col("n") / 2)
+
+    def piece(number, batch, status_, offset, end):
+        return F.struct(
+            F.lit(number).alias("part_no"), F.lit(batch).alias("batch"), F.lit(status_).alias("status"), offset.cast("long").alias("offset"),
+            F.substring("body", (offset + 1).cast("int"), (end - offset).cast("int")).alias("bytes"),
+        )
+
+    zero, n, kind = F.lit(0), F.col("n"), F.col("doc_id") % 4
+    ranges = (
+        F.when(kind == 0, F.array(piece(1, 0, 206, a - 5, b), piece(2, 0, 200, zero, a), piece(3, 0, 206, b - 9, n), piece(4, 0, 206, a, b)))
+        .when(kind == 1, F.array(piece(1, 0, 200, zero, a), piece(2, 0, 206, b - 1, n), piece(3, 1, 206, a - 3, b)))
+        .when(kind == 2, F.array(piece(1, 0, 206, zero, n - 1), piece(2, 1, 200, zero, b), piece(3, 1, 206, b, n)))
+        .otherwise(F.array(piece(1, 0, 206, a, b), piece(2, 1, 206, b, n)))
+    )
+    parts = docs.select("doc_id", F.col("n").alias("total"), F.inline(ranges))
+    batches = [parts.filter(F.col("batch") == i).drop("batch") for i in (0, 1)]
+    first = bodies.advance_parts(batches[0], batches[0].limit(0))
+    second = bodies.advance_parts(batches[1], materialize(first.open, "open"))
+    done = first.bodies.filter("whole").unionByName(second.bodies)
+    return done.select("doc_id", sha256_hex(F.col("body")).alias("sha256"), F.length("body").cast("bigint").alias("content_length"), "whole", "n_parts")
+
+
 def _sightings(spark, folder):
     """Each document seen three times under two spellings."""
     docs = table(spark, folder, "documents")
@@ -284,3 +356,53 @@ def body_store(spark, folder):
     writers.write_bodies(bodies.unique_bodies(document_rows(spark, folder), key="doc_id").drop("copies"), path)
     back = spark.read.schema("sha256 string, body binary, p1 string, p2 string").parquet(path)
     return back.select("sha256", "p1", "p2", F.col("body").cast("string").alias("body"))
+
+
+def _stored(spark, folder):
+    """An index whose documents came in two batches of bodies: even ones whole, odd ones as ranges, a part of them late."""
+    docs = materialize(document_rows(spark, folder).withColumn("canonical_url", canonical_url(F.col("pdf_url"))), "docs")
+    index = DocumentIndex(spark, new_location(spark, "index"))
+    known = tables.align(docs.select("canonical_url", "pdf_url", "domain"), schemas.DOCUMENTS, download_status=F.lit("queued"))
+    queue = tables.align(docs.select("canonical_url"), schemas.DOWNLOAD_QUEUE, status=F.lit("queued"), attempts=F.lit(0), added_at=now())
+    index.replace(documents=known, download_queue=queue)
+    kind, half = F.col("doc_id") % 4, F.floor(F.length("body") / 2).cast("long")
+    whole = docs.select("canonical_url", "doc_id", F.lit(200).alias("http_status"), F.create_map(F.lit("ETag"), F.col("doc_id").cast("string")).alias("headers"), "body", F.lit(False).alias("resumed"))
+
+    def ranged(number, status_, offset, length):
+        return docs.select(
+            "canonical_url", "doc_id", F.lit(number).alias("part_no"), F.lit(status_).alias("status"), offset.alias("offset"), F.length("body").cast("long").alias("total"),
+            F.create_map(F.lit("ETag"), F.col("doc_id").cast("string")).alias("headers"), F.substring("body", (offset + 1).cast("int"), length.cast("int")).alias("bytes"),
+        )
+
+    start, rest = ranged(1, 200, F.lit(0).cast("long"), half), ranged(2, 206, half, F.length("body"))
+    later = F.lit(NOW).cast("timestamp") + F.expr("interval 1 hour")
+    index.download(whole.filter(kind == 0).drop("doc_id"), now(), "data", parts=start.filter(kind % 2 == 1).unionByName(rest.filter(kind == 1)).drop("doc_id"))
+    index.download(whole.filter(kind == 2).drop("doc_id"), later, "data", parts=rest.filter(kind == 3).drop("doc_id"))
+    return index
+
+
+@query(
+    f"""with {DOCUMENT_ROWS} select pdf_url as canonical_url, 'complete' as download_status, sha256, cast(octet_length(encode(text)) as bigint) as content_length,
+      'data/' || substr(sha256, 1, 2) || '/' || substr(sha256, 3, 2) || '/' || sha256 || '.pdf' as download_path, cast(doc_id as varchar) as etag, 'completed' as job, cast(1 as bigint) as bodies from docs"""
+)
+def download_two_batches(spark, folder):
+    """Documents, jobs and body table after two batches; no digest is stored twice."""
+    index = _stored(spark, folder)
+    stored = index.bodies().groupBy("sha256").agg(F.count("*").alias("bodies"))
+    jobs = index.table("download_queue").select("canonical_url", F.col("status").alias("job"))
+    docs = index.table("documents").join(jobs, "canonical_url").join(stored, "sha256", "left")
+    return docs.select("canonical_url", "download_status", "sha256", "content_length", "download_path", "etag", "job", "bodies")
+
+
+@query(
+    f"""with {DOCUMENT_ROWS}, judged as (select case when substr(sha256, 1, 1) in ('0', '1') then 'missing' when substr(sha256, 1, 1) in ('2', '3', '4') then 'mismatch' else 'ok' end as v from docs)
+    select count(*) filter (v = 'ok') as ok, count(*) filter (v = 'mismatch') as mismatch, count(*) filter (v = 'missing') as missing from judged"""
+)
+def verify_store(spark, folder):
+    """The body table, damaged, against the documents of the index."""
+    index = _stored(spark, folder)
+    kept = index.bodies().filter(~F.col("sha256").rlike("^[01]"))
+    damaged = kept.withColumn("body", F.when(F.col("sha256").rlike("^[234]"), F.concat("body", F.lit(b"!"))).otherwise(F.col("body")))
+    writers.write_bodies(damaged.select("sha256", "body"), f"{index.root}/damaged")
+    table_ = spark.read.schema(schemas.BODIES).parquet(f"{index.root}/damaged")
+    return status.verify_counts(status.verify_bodies(index.table("documents"), table_))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperfield.functions.content import sha256_hex
+
 # metric -> (table, condition or None); the report sections of each metric follow.
 _COUNTS = {
     "agencies": ("agencies", None),
@@ -103,6 +105,20 @@ def verify_files(documents: DataFrame, files: DataFrame) -> DataFrame:
     ).drop("_found", "_present")
 
 
+def verify_bodies(documents: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Completed documents with their verdict against the body table (sha256, body, ...).
+
+    Digests are recomputed where the bodies lie; only the stored and the found digest meet the documents.  A body
+    under the digest of a document whose bytes have another one is a mismatch; a document without a digest is
+    missing, as nothing can be found for it.
+    """
+    found = bodies.select(F.col("sha256").alias("_key"), sha256_hex(F.col("body")).alias("_found"))
+    whole = found.groupBy(F.col("_key").alias("sha256")).agg(F.bool_and(F.coalesce(F.col("_found") == F.col("_key"), F.lit(False))).alias("_whole"))
+    joined = documents.filter(F.col("download_status") == "complete").join(whole, "sha256", "left")
+    verdict = F.when(F.col("_whole").isNull(), "missing").when(F.col("_whole"), "ok").otherwise("mismatch")
+    return joined.withColumn("verdict", verdict).select(*documents.columns, "verdict")
+
+
 def verify_counts(verdicts: DataFrame) -> DataFrame:
     return verdicts.agg(*[F.count_if(F.col("verdict") == v).alias(v) for v in ("ok", "mismatch", "missing")])
 

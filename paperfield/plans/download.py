@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperfield.functions.retry import DOWNLOAD_RETRIES
-from paperfield.operators.bodies import finalise_bodies, number_collisions, unique_bodies
+from paperfield.operators.bodies import body_facts, number_collisions, unique_bodies, with_paths
 from paperfield.operators.queues import finish_downloads
 from paperfield.operators.skew import lookup
+from paperfield.session import materialize
 
 
 @dataclass(frozen=True)
@@ -27,21 +28,29 @@ def download_step(
     root: str,
     layout: str = "content_addressed",
     retries: int = DOWNLOAD_RETRIES,
+    stored: DataFrame | None = None,
 ) -> DownloadStep:
-    """Apply one batch of fetched bodies (canonical_url, http_status, headers, body, resumed, at)."""
-    named = fetched.join(documents.select("canonical_url", "state", "filename"), "canonical_url")
-    results = finalise_bodies(named, root, layout)
+    """Apply one batch of fetched bodies (canonical_url, http_status, headers, body, resumed, at).
+
+    One scan writes the facts of the answers, and everything is decided on those.  ``bodies`` then takes, in a second
+    scan, one body of each digest that is not in ``stored`` (sha256).
+    """
+    facts = materialize(body_facts(fetched), "facts")
+    results = with_paths(facts.join(documents.select("canonical_url", "state", "filename"), "canonical_url"), root, layout)
     if layout != "content_addressed":
         good = results.filter("ok").select(
             F.col("download_path").alias("dest"), "sha256", F.struct("at", "canonical_url").alias("arrived")
         )
-        stored = documents.filter(F.col("download_path").isNotNull() & F.col("sha256").isNotNull())
-        names = number_collisions(good, stored.select(F.col("download_path").alias("path"), "sha256")).select(F.col("dest").alias("download_path"), "sha256", "final_path")
+        taken = documents.filter(F.col("download_path").isNotNull() & F.col("sha256").isNotNull())
+        names = number_collisions(good, taken.select(F.col("download_path").alias("path"), "sha256")).select(F.col("dest").alias("download_path"), "sha256", "final_path")
         results = (
             lookup(results, names, ["download_path", "sha256"])
             .withColumn("download_path", F.coalesce("final_path", "download_path"))
             .drop("final_path")
         )
+    results = materialize(results, "results")
     new_queue, new_documents = finish_downloads(queue, documents, results, retries)
-    stored = fetched.join(results.filter("ok").select("canonical_url"), "canonical_url", "left_semi")
-    return DownloadStep(new_queue, new_documents, unique_bodies(stored))
+    wanted = results.filter("ok").groupBy("sha256").agg(F.count("*").alias("copies"))
+    if stored is not None:
+        wanted = wanted.join(stored.select("sha256"), "sha256", "left_anti")
+    return DownloadStep(new_queue, new_documents, unique_bodies(fetched, wanted=wanted))

@@ -67,6 +67,10 @@ RESULT_PAGES = _schema(
     provider="string", query="string", page="int", status="int", retry_after="string", html="string",
     fetched_at="timestamp",
 )
+BODIES = _schema(sha256="string", body="binary", p1="string", p2="string")
+DOWNLOAD_PARTS = _schema(
+    canonical_url="string", part_no="int", status="int", offset="long", total="long", headers="headers", bytes="binary",
+)
 PARTS = _schema(doc_id="long", part_no="int", status="int", offset="long", bytes="binary")
 
 SEED_RECORD = StructType(

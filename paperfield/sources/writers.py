@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from paperfield.operators.skew import lookup
@@ -64,12 +64,20 @@ def write_jsonl(rows: DataFrame, path: str, ascii_only: bool = False) -> int:
     return seen.get["n"]
 
 
+BODY_BUCKETS = 256
+
+
+def body_bucket(digest: Column) -> Column:
+    """Bucket of a digest in the body table; the hash by which Spark exchanges rows."""
+    return F.pmod(F.hash(digest), F.lit(BODY_BUCKETS))
+
+
 def write_bodies(unique: DataFrame, path: str) -> None:
-    """Append (sha256, body) to the body table, one folder per first digest byte.
+    """Append (sha256, body) to the body table, one folder per bucket of digests, with p1 and p2 of their paths.
 
-    The tasks, as many as the session shuffles to, each take a range of digests, which are uniform.
-    Files are sorted by digest, so a lookup skips all but one row group.
+    Rows that come out of an exchange by digest, into a multiple of the number of buckets, are written where they are, a
+    folder a task.  Files are sorted by digest, so a lookup reads one folder and skips all but one row group of a file.
     """
     p1, p2 = F.substring("sha256", 1, 2), F.substring("sha256", 3, 2)
-    fanned = unique.withColumns({"p1": p1, "p2": p2}).repartitionByRange("sha256")
-    fanned.sortWithinPartitions("p1", "sha256").write.mode("append").partitionBy("p1").parquet(path)
+    placed = unique.withColumns({"p1": p1, "p2": p2, "bucket": body_bucket(F.col("sha256"))})
+    placed.sortWithinPartitions("bucket", "sha256").write.mode("append").partitionBy("bucket").parquet(path)

@@ -1,5 +1,7 @@
 import hashlib
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from paperfield import schemas
@@ -137,3 +139,70 @@ def test_names_go_on_after_stored_ones(spark):
     files = spark.createDataFrame([("s/r.pdf", "d2", 1), ("s/r.pdf", "d3", 2), ("s/r.pdf", "d4", 3), ("s/new.pdf", "d5", 4), ("s/q.pdf", "d9", 5)], "dest string, sha256 string, arrived int")
     got = {r.sha256: r.final_path for r in bodies.number_collisions(files, stored).collect()}
     assert got == {"d2": "s/r__2.pdf", "d3": "s/r__3.pdf", "d4": "s/r__4.pdf", "d5": "s/new.pdf", "d9": "s/q.pdf"}
+
+
+def test_parts_overlaps_gaps_and_batches(spark):
+    whole = bytes(range(60))
+    one = [(1, 1, 206, 0, whole[:4]), (1, 2, 206, 2, whole[2:6]), (1, 3, 206, 8, whole[8:10]), (2, 1, 200, 0, whole[:30]), (3, 1, 206, 20, whole[20:60]), (4, 1, 429, 0, b"no"), (5, 1, 200, 0, b"")]
+    two = [(1, 4, 206, 5, whole[5:9]), (2, 2, 206, 25, whole[25:]), (3, 2, 206, 0, whole[:20]), (3, 3, 206, 10, whole[10:30]), (2, 1, 200, 0, whole[:31])]
+    totals = {1: 10, 2: 60, 3: 60, 4: None, 5: None}
+    frames = [spark.createDataFrame([(*p[:4], bytearray(p[4]), totals[p[0]]) for p in batch], "doc_id long, part_no int, status int, offset long, bytes binary, total long") for batch in (one, two)]
+    first = bodies.advance_parts(frames[0], frames[0].limit(0))
+    got = {r.doc_id: r for r in first.bodies.collect()}
+    assert {k: (bytes(r.body), r.contiguous, r.whole) for k, r in got.items()} == {1: (whole[:6], False, False), 2: (whole[:30], True, False), 3: (b"", False, False), 5: (b"", True, True)}
+    second = bodies.advance_parts(frames[1], first.open)
+    got = {r.doc_id: (bytes(r.body), r.whole) for r in second.bodies.collect()}
+    assert got == {1: (whole[:10], True), 2: (whole, True), 3: (whole, True)}
+    assert second.open.count() == 0
+    with pytest.raises(Exception, match="part numbers repeat"):
+        bodies.assemble_parts(frames[0].unionByName(frames[0])).collect()
+
+
+def names_one_by_one(files, taken):
+    """The rule for a batch, step by step: plain names first, then numbers in order of arrival."""
+    taken, given = dict(taken), {}
+    firsts = {}
+    for dest, digest, arrived in sorted(files, key=lambda f: (f[2], f[1])):
+        firsts.setdefault((dest, digest), arrived)
+    order = sorted(firsts, key=lambda f: (firsts[f], f[1]))
+    stored = set(taken)
+    for dest, digest in order:
+        if dest not in taken or dest in stored and taken[dest] == digest:
+            given[dest, digest] = dest
+            taken[dest] = digest
+    for dest, digest in order:
+        if (dest, digest) in given:
+            continue
+        stem, dot, ext = dest.rpartition(".") if "." in dest.rsplit("/", 1)[-1] else (dest, ".", "pdf")
+        names = [f"{stem}__{n}{dot}{ext}" for n in range(2, 200)]
+        same = [n for n in names if taken.get(n) == digest]
+        name = (same or [n for n in names if n not in taken])[0]
+        taken[name] = digest
+        given[dest, digest] = name
+    return given, taken
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_names_never_meet(spark, seed):
+    r = random.Random(seed)
+    dests = ["s/a.pdf", "s/a", "s/a__2.pdf", "s/a__3.pdf", "s/a__03.pdf", "s/a__2__2.pdf", "s/a__1.pdf", "t/a.pdf", "s/b.txt", "s/b__4.txt"]
+    taken, stored = {}, spark.createDataFrame([], "path string, sha256 string")
+    for batch in range(3):
+        files = [(r.choice(dests), f"d{r.randrange(9)}", 100 * batch + i) for i in range(25)]
+        want, taken = names_one_by_one(files, taken)
+        found = bodies.number_collisions(spark.createDataFrame(files, "dest string, sha256 string, arrived long"), stored).collect()
+        assert {(x.dest, x.sha256): x.final_path for x in found} == want and len(found) == len(want)
+        stored = spark.createDataFrame(list(taken.items()), "path string, sha256 string")
+        owners = {}
+        for x in found:
+            assert owners.setdefault(x.final_path, x.sha256) == x.sha256
+
+
+def test_bodies_stay_out_of_the_joins_of_facts(spark):
+    queue, docs = download_tables(spark, {"a": 1, "b": 1})
+    step = download_step(queue, docs, fetched(spark, [("a", 200, b"%PDF-1", False), ("b", 200, b"%PDF-2", False)]), "root")
+    for frame in (step.queue, step.documents):
+        assert "body" not in frame._jdf.queryExecution().executedPlan().toString()
+    plan = step.bodies._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len([x for x in exchanges if "sha256" in x]) <= 2 and "SortAggregate" not in plan
