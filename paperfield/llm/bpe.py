@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from heapq import heapify, heappop, heappush
 from itertools import chain, islice
 
@@ -18,10 +18,11 @@ from paperfield.llm.common import mix
 
 BLOCK = 1 << 20  # characters encoded at once
 MATCHES = 1 << 17  # pre-tokens taken at once from a longer text
-KEPT = 1 << 19  # merged pre-tokens that a task remembers
+KEPT = 1 << 18  # merged pre-tokens that a task remembers
 LONGEST_KEPT = 64
 ASCII_CLASSES = {r"\p{L}": "A-Za-z", r"\p{N}": "0-9"}
 PLACE = (1 << 40) - 1
+AFTER, BEFORE = list(range(1, LONGEST_KEPT + 1)), list(range(-1, LONGEST_KEPT - 1))
 SALT = 0x9E3779B97F4A7C15
 
 
@@ -158,7 +159,7 @@ class Bpe:
         self.at[self.id], self.length[self.id] = self.start, self.size
         self.length_of = self.length.tolist()
         self.pairs = {tuple(token): rank for token, rank in self.ranks.items() if len(token) == 2}
-        self.kept: dict[bytes, list[int]] = {}
+        self.kept: dict[bytes, Sequence[int]] = {}
 
     def whole(self, words: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """First tier: the ids of spans that are tokens as a whole, else -1. The bytes are compared."""
@@ -177,35 +178,38 @@ class Bpe:
             found[short[differs]] = -1
         return found
 
-    def merged(self, piece: bytes) -> list[int]:
+    def merged(self, piece: bytes) -> Sequence[int]:
         """Second tier: ids of a pre-token that is no token: the pair of lowest rank, the first of equals, is joined again and again.
 
         Parts are linked by their places; a heap holds the pairs, and entries of pairs that are gone are passed over.
         """
-        known = self.kept.get(piece)
-        if known is not None:
-            return known
         n, rank, length = len(piece), self.ranks.get, self.length_of
-        after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+        if n <= LONGEST_KEPT:
+            after, before = AFTER[:n], BEFORE[:n]
+        else:
+            after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
         heap = [r << 40 | i for i, r in enumerate(map(self.pairs.get, zip(piece, piece[1:]))) if r is not None]
         heapify(heap)
         while heap:
             entry = heappop(heap)
-            i, r = entry & PLACE, entry >> 40
+            i = entry & PLACE
             j = after[i]
             if j < 0 or j >= n:
                 continue
             k = after[j]
-            if k != i + length[r]:
+            if k != i + length[entry >> 40]:
                 continue
             after[i], after[j] = k, -1
             if k < n:
                 before[k] = i
-                if (r := rank(piece[i : after[k]])) is not None:
+                r = rank(piece[i : after[k]])
+                if r is not None:
                     heappush(heap, r << 40 | i)
             h = before[i]
-            if h >= 0 and (r := rank(piece[h:k])) is not None:
-                heappush(heap, r << 40 | h)
+            if h >= 0:
+                r = rank(piece[h:k])
+                if r is not None:
+                    heappush(heap, r << 40 | h)
         ids, i = [], 0
         while i < n:
             k = after[i]
@@ -214,7 +218,7 @@ class Bpe:
         if n <= LONGEST_KEPT:
             if len(self.kept) >= KEPT:
                 self.kept.clear()
-            self.kept[piece] = ids
+            self.kept[piece] = ids = tuple(ids)  # unlike lists, no work for the garbage collector
         return ids
 
     def block(self, text: str, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -229,9 +233,11 @@ class Bpe:
         missed = np.flatnonzero(ids < 0)
         if not len(missed):
             return ids, np.ones(len(ids), np.int64)
-        parts = [self.merged(data[a:b]) for a, b in zip(starts[missed].tolist(), ends[missed].tolist())]
+        known, merged = self.kept.get, self.merged
+        pieces = [data[a:b] for a, b in zip(starts[missed].tolist(), ends[missed].tolist())]
+        parts = [known(piece) or merged(piece) for piece in pieces]
         counts = np.ones(len(ids), np.int64)
-        counts[missed] = [len(p) for p in parts]
+        counts[missed] = list(map(len, parts))
         out = np.repeat(ids, counts)
         out[out < 0] = np.fromiter(chain.from_iterable(parts), np.int64)
         return out, counts
