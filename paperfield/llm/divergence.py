@@ -6,20 +6,20 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperfield.llm.common import mix, text_column
 from paperfield.session import materialize
 
 TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 GAP = re.compile(rb"[^A-Za-z\x80-\xff]")
-END = b" "  # ends a complete term; no term has it
+END = b" "  # ends each term; no term has it
 PIECE = 1 << 20
-HELD = 1 << 18  # distinct prefixes a task counts before it passes its counts on
+BLOCK = 1 << 24  # bytes of terms that a task groups at once
 SCALE = 1_000_000_000
 
 
@@ -30,15 +30,11 @@ class Audit:
     positives cost work, not results); ``top``: ranks of terms that are returned."""
 
     documents: int = 3
-    first: int = 2
-    filter_bits: int = 1 << 22
+    first: int = 4
+    filter_bits: int = 1 << 23
     top: int = 200
 
 
-def _texts(batch: pa.RecordBatch, column: int) -> Iterator[bytes]:
-    return (v.as_py() or b"" for v in batch.column(column).cast(pa.large_binary()))
-
-
 def _count(text: bytes) -> Counter:
     """Terms of a text, A-Z lowered; a long text is taken in pieces that end between terms."""
     found: Counter = Counter()
@@ -52,7 +48,7 @@ def _count(text: bytes) -> Counter:
 
 
 def document_terms(docs: DataFrame) -> DataFrame:
-    """(lang, source, terms, counts) a document: its distinct terms, joined by blanks, and how often each occurs. Null is ''."""
+    """(lang, source, terms, counts) a document: its distinct terms, a blank behind each, and how often each occurs. Null is ''."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,9 +58,9 @@ def document_terms(docs: DataFrame) -> DataFrame:
                 kept = [c.slice(first, len(terms)) for c in batch.columns[:2]]
                 return pa.RecordBatch.from_arrays([*kept, pa.array(terms, pa.binary()), pa.array(counts, pa.list_(pa.int32()))], ["lang", "source", "terms", "counts"])
 
-            for text in _texts(batch, 2):
-                found = _count(text)
-                terms.append(END.join(found))
+            for text in batch.column(2).cast(pa.large_binary()):
+                found = _count(text.as_py() or b"")
+                terms.append(END.join(found) + END if found else b"")
                 counts.append(list(found.values()))
                 size += len(terms[-1])
                 if size > PIECE:
@@ -77,38 +73,113 @@ def document_terms(docs: DataFrame) -> DataFrame:
     return docs.select(*texts).mapInArrow(split, "lang string, source string, terms binary, counts array<int>")
 
 
-class _Tally:
-    """Counts by key within a task; passed on when ``HELD`` keys are reached, to be added up by the shuffle."""
-
-    def __init__(self, names: list[str]):
-        self.names, self.counts, self.size = names, {}, 0
-
-    def of(self, key: tuple) -> Counter:
-        return self.counts.setdefault(key, Counter())
-
-    def full(self, before: int, after: int) -> bool:
-        self.size += after - before
-        return self.size >= HELD
-
-    def batch(self) -> pa.RecordBatch:
-        keys = [k for k, c in self.counts.items() for _ in c]
-        terms = [t for c in self.counts.values() for t in c]
-        numbers = [n for c in self.counts.values() for n in c.values()]
-        self.counts, self.size = {}, 0
-        columns = [pa.array([k[i] for k in keys], pa.string()) for i in range(len(self.names) - 2)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(terms, pa.binary()), pa.array(numbers, pa.int64())], self.names)
+class _Spans:
+    """Stretches of a block of bytes, compared and hashed eight bytes at a time."""
+
+    def __init__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray):
+        self.data, self.start, self.size = data, start, size
+        self.words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+
+    def take(self, chosen: np.ndarray) -> _Spans:
+        return _Spans(self.data, self.start[chosen], self.size[chosen])
+
+    def prefix(self, size: int) -> _Spans:
+        return _Spans(self.data, self.start, np.minimum(self.size, size))
+
+    def word(self, at: int, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Bytes ``at`` to ``at`` + 8 of the spans, zero behind their end."""
+        left = np.clip(self.size[rows] - at, 0, 8)
+        start = np.minimum(self.start[rows] + at, len(self.words) - 1)
+        mask = np.uint64(0xFFFFFFFFFFFFFFFF) >> np.where(left, 64 - 8 * left, 0).astype(np.uint64)
+        return np.where(left > 0, self.words[start] & mask, np.uint64(0))
+
+    def hashes(self) -> np.ndarray:
+        """Equal for equal spans; no span has a zero byte, so up to eight bytes also differ for different ones."""
+        found = self.word(0)
+        rest = np.flatnonzero(self.size > 8)
+        at = 8
+        while len(rest):
+            found[rest] = mix(found[rest] + np.uint64(at)) ^ self.word(at, rest)
+            at += 8
+            rest = rest[self.size[rest] > at]
+        return found
+
+    def differ(self, one: np.ndarray, other: np.ndarray) -> bool:
+        """Whether any of the spans ``one`` differs from that of ``other`` in the same place."""
+        if (self.size[one] != self.size[other]).any():
+            return True
+        at = 8
+        while len(one):
+            long = self.size[one] > at
+            one, other = one[long], other[long]
+            if (self.word(at, one) != self.word(at, other)).any():
+                return True
+            at += 8
+        return False
+
+    def values(self) -> pa.Array:
+        ends = np.cumsum(self.size)
+        places = np.repeat(self.start - ends + self.size, self.size) + np.arange(ends[-1] if len(ends) else 0)
+        offsets = np.append(0, ends).astype(np.int64)
+        found = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(self.data[places])])
+        return found.cast(pa.binary())
+
+
+def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.ndarray, _Spans]]:
+    """Rows [first, last) of a batch in blocks of about ``BLOCK`` bytes: the row of each term, and the terms with their ends."""
+    content, starts, lengths = text_column(batch.column(column))
+    total = np.cumsum(lengths)
+    first = 0
+    while first < len(lengths):
+        last = max(first + 1, int(np.searchsorted(total, (total[first - 1] if first else 0) + BLOCK, "right")))
+        begin, size = starts[first], lengths[first:last]
+        data = np.concatenate([content[begin : begin + size.sum()], np.zeros(8, np.uint8)])
+        ends = np.flatnonzero(data[:-8] == END[0]) + 1
+        spans = _Spans(data, np.append(0, ends)[: len(ends)], np.diff(ends, prepend=0))
+        yield first, last, np.searchsorted(np.cumsum(size), ends - 1, "right") + first, spans
+        first = last
+
+
+def _groups(code: np.ndarray, spans: _Spans) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal (code, span) together, and where in it each group begins. ``code`` is below 2^16."""
+    hashes = spans.hashes()
+    order = np.argsort(hashes, kind="stable")
+    order = order[np.argsort(code[order].astype(np.uint16), kind="stable")]
+    new = np.append(True, (np.diff(hashes[order]) != 0) | (np.diff(code[order]) != 0))[: len(order)]
+    first = np.flatnonzero(new)
+    same = order[np.flatnonzero(~new)]
+    if spans.differ(same, order[np.flatnonzero(~new) - 1]):  # two spans of one hash: sort the bytes themselves
+        keys = list(zip(code.tolist(), spans.values().to_pylist()))
+        order = np.array(sorted(range(len(keys)), key=lambda i: keys[i]), np.int64)
+        first = np.array([n for n, i in enumerate(order) if n == 0 or keys[i] != keys[order[n - 1]]], np.int64)
+    return order, first
+
+
+def _language_hashes(lang: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code of each row's language, and a hash of each code's language."""
+    coded = lang.dictionary_encode()
+    values = pa.array([(v + "\1").encode() for v in coded.dictionary.to_pylist()], pa.binary())
+    content, starts, sizes = text_column(values)
+    return np.asarray(coded.indices), mix(_Spans(np.concatenate([content, np.zeros(8, np.uint8)]), starts, sizes).hashes())
+
+
+def _in_filter(bits: np.ndarray, seeds: np.ndarray, spans: _Spans) -> np.ndarray:
+    at = mix(spans.hashes() ^ seeds) % np.uint64(8 * len(bits))
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _passes(bits: np.ndarray, mask: int, seed: int, prefix: bytes) -> bool:
-    at = crc32(prefix, seed) & mask
-    return bool(bits[at >> 3] >> (at & 7) & 1)
+def bit_filter(kept: DataFrame, bits: int) -> np.ndarray:
+    """A bit for every row (lang, prefix); at most ``bits`` / 8 bytes of bits reach the driver."""
 
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            content, starts, sizes = text_column(batch.column(1))
+            spans = _Spans(np.concatenate([content, np.zeros(8, np.uint8)]), starts, sizes)
+            code, seeds = _language_hashes(batch.column(0))
+            at = (mix(spans.hashes() ^ seeds[code]) % np.uint64(bits)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 5), pa.array(np.int64(1) << (at & 31))], ["word", "bit"])
 
-def bit_filter(kept: DataFrame, bits: int) -> np.ndarray:
-    """Bit ``crc32(lang, 0, prefix)`` of every row (lang, prefix); at most ``bits`` / 8 bytes reach the driver."""
-    key = F.concat(F.encode("lang", "UTF-8"), F.lit(b"\0"), F.col("prefix"))
-    at = kept.select((F.crc32(key) % bits).alias("at"))
-    words = at.groupBy(F.shiftright("at", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 31 as int))")).alias("set")).toArrow()
+    words = kept.select("lang", "prefix").mapInArrow(places, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("set")).toArrow()
     found = np.zeros(bits // 32, np.uint32)
     found[words["word"].to_numpy()] = words["set"].to_numpy()
     return found.view(np.uint8)
@@ -121,20 +192,24 @@ def _level(terms: DataFrame, done: int, length: int, survivors: np.ndarray | Non
     """
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = _Tally(["lang", "prefix", "n"])
-        mask = len(survivors) * 8 - 1 if survivors is not None else 0
         for batch in batches:
-            for lang, joined in zip(batch.column(0).to_pylist(), _texts(batch, 1)):
-                found = {(t + END)[:length] for t in joined.split(END) if len(t) >= done} if joined else set()
+            code, seeds = _language_hashes(batch.column(0))
+            names = pa.array(batch.column(0).dictionary_encode().dictionary)
+            for _, _, row, spans in _blocks(batch, 1):
                 if survivors is not None:
-                    seed = crc32(lang.encode() + b"\0")
-                    found = {p for p in found if _passes(survivors, mask, seed, p[:done])}
-                counts = tally.of((lang,))
-                before = len(counts)
-                counts.update(found)
-                if tally.full(before, len(counts)):
-                    yield tally.batch()
-        yield tally.batch()
+                    open_ = np.flatnonzero(spans.size > done)
+                    row, spans = row[open_], spans.take(open_)
+                    passed = np.flatnonzero(_in_filter(survivors, seeds[code[row]], spans.prefix(done)))
+                    row, spans = row[passed], spans.take(passed)
+                if not len(row):
+                    continue
+                spans = spans.prefix(length)
+                order, first = _groups(code[row], spans)
+                documents = np.append(True, np.diff(row[order]) != 0)
+                documents[first] = True
+                counts = np.add.reduceat(documents.astype(np.int64), first)
+                heads = order[first]
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(code[row[heads]])), spans.take(heads).values(), pa.array(counts)], ["lang", "prefix", "n"])
 
     return terms.select("lang", "terms").mapInArrow(extend, "lang string, prefix binary, n long")
 
@@ -165,22 +240,31 @@ def kept_terms(terms: DataFrame, audit: Audit = Audit()) -> DataFrame:
 
 def term_counts(terms: DataFrame, kept: DataFrame, audit: Audit = Audit()) -> DataFrame:
     """(lang, source, term, count) of kept terms where they occur."""
-    bits = bit_filter(kept.select("lang", F.col("term").alias("prefix")), audit.filter_bits)
+    bits = bit_filter(kept.select("lang", F.concat("term", F.lit(END)).alias("prefix")), audit.filter_bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = _Tally(["lang", "source", "term", "n"])
-        mask = len(bits) * 8 - 1
         for batch in batches:
-            for lang, source, joined, numbers in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _texts(batch, 2), batch.column(3).to_pylist()):
-                seed = crc32(lang.encode() + b"\0")
-                counts = tally.of((lang, source))
-                before = len(counts)
-                for term, n in zip(joined.split(END), numbers):
-                    if _passes(bits, mask, seed, term):
-                        counts[term] += n
-                if tally.full(before, len(counts)):
-                    yield tally.batch()
-        yield tally.batch()
+            code, seeds = _language_hashes(batch.column(0))
+            source = np.asarray(batch.column(1).dictionary_encode().indices)
+            pairs, group = np.unique(code.astype(np.int64) << 32 | source, return_inverse=True)
+            names = [batch.column(i).dictionary_encode().dictionary for i in (0, 1)]
+            numbers = batch.column(3)
+            sizes = np.asarray(numbers.value_lengths(), np.int64)
+            flat, before = np.asarray(numbers.flatten(), np.int64), np.append(0, np.cumsum(sizes))
+            for first_row, last_row, row, spans in _blocks(batch, 2):
+                here = flat[before[first_row] : before[last_row]]
+                passed = np.flatnonzero(_in_filter(bits, seeds[code[row]], spans))
+                row, spans, here = row[passed], spans.take(passed), here[passed]
+                if not len(row):
+                    continue
+                order, first = _groups(group[row], spans)
+                sums = np.add.reduceat(here[order], first)
+                heads = order[first]
+                used = pairs[group[row[heads]]]
+                terms_ = spans.take(heads)
+                terms_.size = terms_.size - 1
+                columns = [names[0].take(pa.array(used >> 32)), names[1].take(pa.array(used & (1 << 32) - 1)), terms_.values(), pa.array(sums)]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n"])
 
     partial = terms.mapInArrow(count, "lang string, source string, term binary, n long")
     counts = partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("count"))
@@ -226,7 +310,7 @@ def source_divergence(docs: DataFrame, audit: Audit = Audit()) -> DataFrame:
     pairs = _pairs(groups, shares).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")))
 
     overall = counts.groupBy("lang", "term").agg(F.sum("count").alias("count"))
-    whole = counts.groupBy("lang").agg(F.sum("count").alias("n")).join(sizes, "lang")
+    whole = materialize(counts.groupBy("lang").agg(F.sum("count").alias("n")).join(sizes, "lang"), "languages")
     expected = overall.join(whole, "lang").select("lang", "term", _share(F.col("count"), F.col("n"), F.col("v")).alias("q"))
     over = shares.join(expected, ["lang", "term"]).filter("p > q").select("lang", "source", F.col("term").cast("string").alias("item"), _gap(F.col("p"), F.col("q")).alias("value"))
     best = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
@@ -253,14 +337,22 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
     there = one.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), (F.col("terms") * _gap(F.col("q0"), F.col("p"))).alias("value"))
 
     met = shares.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("p0").alias("q0"))
-    common = shares.join(met, ["lang", "term"]).filter("source <> item")
+    common = shares.join(met, ["lang", "term"]).filter("source < item")
     p, q, p0, q0 = (F.col(c) for c in ("p", "q", "p0", "q0"))
-    common = common.select("lang", "source", "item", (_gap(p, q) - _gap(p, q0) - _gap(p0, q) + _gap(p0, q0)).alias("value"))
+    forth = (_gap(p, q) - _gap(p, q0) - _gap(p0, q) + _gap(p0, q0)).alias("forth")
+    back = (_gap(q, p) - _gap(q, p0) - _gap(q0, p) + _gap(q0, p0)).alias("back")
+    sums = common.select("lang", "source", "item", forth, back).groupBy("lang", "source", "item").agg(_total("forth").alias("forth"), _total("back").alias("back"))
+    sums = materialize(sums, "common")
+
+    parts = none.select("lang", "source", "item", F.col("value").cast("decimal(38,0)").alias("value"))
+    for rows in (here, there):
+        parts = parts.unionByName(rows.groupBy("lang", "source", "item").agg(_total("value").alias("value")))
+    parts = parts.unionByName(sums.select("lang", "source", "item", F.col("forth").alias("value")))
+    parts = parts.unionByName(sums.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), F.col("back").alias("value")))
+    return parts.groupBy("lang", "source", "item").agg(F.sum("value").cast("long").alias("value"))
 
-    def total(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("lang", "source", "item").agg(F.sum(F.col("value").cast("decimal(20,0)")).alias("value"))
 
-    parts = total(none)
-    for rows in (here, there, common):
-        parts = parts.unionByName(total(rows))
-    return parts.groupBy("lang", "source", "item").agg(F.sum("value").cast("long").alias("value"))
+def _total(column: str) -> Column:
+    """Exact sum of 64-bit numbers from two sums of 32-bit halves, which cannot overflow."""
+    high, low = F.sum(F.shiftright(column, 32)), F.sum(F.col(column).bitwiseAND(F.lit(0xFFFFFFFF)))
+    return (high.cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + low.cast("decimal(20,0)")).cast("decimal(38,0)")

@@ -82,11 +82,29 @@ def test_long_text_in_pieces():
     assert _count(text) == Counter(re.findall(rb"[A-Za-z\x80-\xff]+", text.lower()))
 
 
-def test_tasks_pass_on_counts_before_they_grow(spark, monkeypatch):
+def test_equal_hashes_are_told_apart(monkeypatch):
+    import numpy as np
+
     import paperfield.llm.divergence as module
 
-    monkeypatch.setattr(module, "HELD", 4)
-    tally = module._Tally(["lang", "prefix", "n"])
-    counts = tally.of(("en",))
-    counts.update([b"a", b"b", b"c", b"d"])
-    assert tally.full(0, 4) and tally.batch().num_rows == 4 and tally.batch().num_rows == 0
+    monkeypatch.setattr(module._Spans, "hashes", lambda self: np.zeros(len(self.size), np.uint64))
+    words_ = [b"bb ", b"a ", b"bb ", b"a ", b"a ", b"a "]
+    data = np.frombuffer(b"".join(words_) + bytes(8), np.uint8)
+    sizes = np.array([len(w) for w in words_])
+    code = np.array([0, 0, 0, 0, 1, 0])
+    order, first = module._groups(code, module._Spans(data, np.cumsum(sizes) - sizes, sizes))
+    groups = [[(code[i], words_[i]) for i in order[a:b]] for a, b in zip(first, [*first[1:], len(order)])]
+    assert groups == [[(0, b"a ")] * 3, [(0, b"bb ")] * 2, [(1, b"a ")]]
+
+
+def test_blocks_do_not_change_counts(spark, monkeypatch):
+    import paperfield.llm.divergence as module
+
+    docs = frame(spark, ODD)
+    monkeypatch.setattr(module, "BLOCK", 8)  # in this process only; the pieces are compared below
+    import pyarrow as pa
+
+    rows = document_terms(docs).select("terms").toArrow().to_batches()
+    for batch in rows:
+        cut = [(r, s.values().to_pylist()[i]) for _, _, row, s in module._blocks(batch, 0) for i, r in enumerate(row)]
+        assert cut == [(r, t + b" ") for r, v in enumerate(batch.column(0).cast(pa.binary()).to_pylist()) for t in v.split(b" ")[:-1]]
