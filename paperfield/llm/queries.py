@@ -210,3 +210,46 @@ def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     again = merkle.folded(F.col("received"), F.col("path"))
     found = found.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), again.alias("folded_root"))
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _field(value: str, text: str | None = None) -> str:
+    text = text or f"cast({value} as varchar)"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+def _merkle_sql(depth: int = 8, above: int = 3) -> str:
+    """The tree of at most 8^depth documents a language and 8^above languages, level by level."""
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # CRC-32 bit by bit: the reflected polynomial, over the digits of the id
+    bits = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda d, i: xor(d >> 1, 3988292384 * (d & 1)))"
+    digits = "list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda x: ascii(x)::bigint))"
+    tampered = f"case when xor(list_reduce({digits}, lambda c, b: {bits}), 4294967295) % 3 = 0 then {lowered} else text end"
+    fields = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    steps = [f"""d as (select doc_id, lang, {_field('lang')} as g, sha256({fields} || {_field('text', 'text')}) as leaf, sha256({fields} || {_field('text', f'({tampered})')}) as received from documents),
+  n0 as (select g, leaf as digest, lang, doc_id, received, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by g) as n from d)"""]
+
+    def level(nodes: str, slots: str, over: str) -> None:
+        steps.append(f"{slots} as (select g, pos // 8 as parent, any_value(n) as n, list(digest order by pos) as a from {nodes} group by g, pos // 8)")
+        steps.append(f"{over} as (select g, parent as pos, (n + 7) // 8 as n, case when n > 1 then sha256(array_to_string(a, '')) else a[1] end as digest from {slots})")
+
+    def climb(path: str, slots: str, over: str) -> None:
+        left, right = "array_to_string(a[1:pos % 8], '')", "array_to_string(a[pos % 8 + 2:], '')"
+        steps.append(f"""{over} as (select p.* replace (pos // 8 as pos, case when s.n > 1 then sha256({left} || cur || {right}) else cur end as cur,
+    case when s.n > 1 then proof || {left} || {right} else proof end as proof) from {path} p join {slots} s on s.g = p.g and s.parent = p.pos // 8)""")
+
+    for i in range(depth):
+        level(f"n{i}", f"s{i}", f"n{i + 1}")
+    steps.append(f"t0 as (select '' as g, n{depth}.g as own, digest, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n from n{depth} join (select distinct g, lang from d) l using (g))")
+    for i in range(above):
+        level(f"t{i}", f"u{i}", f"t{i + 1}")
+    steps.append("p0 as (select doc_id, digest as leaf, received as cur, '' as proof, g, pos from n0)")
+    for i in range(depth):
+        climb(f"p{i}", f"s{i}", f"p{i + 1}")
+    steps.append(f"q0 as (select doc_id, leaf, cur, proof, '' as g, t0.pos, t0.digest as subroot from p{depth} p join t0 on t0.own = p.g)")
+    for i in range(above):
+        climb(f"q{i}", f"u{i}", f"q{i + 1}")
+    return "with " + ",\n  ".join(steps) + f"""
+  select doc_id, leaf, subroot, digest as root, sha256(proof) as proof_sha256, cur as folded_root, cur = digest as verified from q{above}, t{above}"""
+
+
+ORACLES["op13_merkle_manifest"] = _merkle_sql()
