@@ -86,6 +86,20 @@ def utf8(column: str) -> Column:
     return F.encode(F.coalesce(F.col(column), F.lit("")), "UTF-8")
 
 
+DRAWS = 1 << 62
+
+
+def draw(*columns: str) -> Column:
+    """A number below ``DRAWS`` fixed by the columns: fine enough to take a given number of any number of rows."""
+    hashed = F.xxhash64(F.lit("sample"), *columns)
+    return F.pmod(hashed, F.lit(1 << 20)) * F.lit(1 << 42) + F.pmod(F.shiftright(hashed, 20), F.lit(1 << 42))
+
+
+def drawn(sample: int, rows: int) -> int:
+    """Below which draw about ``sample`` of ``rows`` rows lie."""
+    return min(DRAWS, sample * DRAWS // rows)
+
+
 def numbered(docs: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame | None]:
     """(_id, *columns) with a unique ``_id`` in the order of (doc_id, columns), null first, and the names of the ids.
 

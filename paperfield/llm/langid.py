@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperfield.llm.common import text_blocks
+from paperfield.llm.common import draw, drawn, text_blocks
 
 GRAM = 4  # bytes
 PLAIN = np.full(256, 32, np.uint8)  # letters and bytes of non-ASCII characters stay, the rest is a gap
@@ -101,8 +101,8 @@ def train(docs: DataFrame, usable: F.Column, fit: Fit = Fit()) -> LanguageFilter
     trained = LanguageFilter(languages, fit.slot_bits)
     if not languages:
         return trained
-    share = F.create_map(*[F.lit(x) for language, n in sizes.items() for x in (language, min(1 << 20, fit.sample * (1 << 20) // n))])
-    sample = rows.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) < share[F.col("lang")])
+    share = F.create_map(*[F.lit(x) for language, n in sizes.items() for x in (language, drawn(fit.sample, n))])
+    sample = rows.filter(draw("doc_id") < share[F.col("lang")].cast("long"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

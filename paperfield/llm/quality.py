@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperfield.llm.common import text_blocks
+from paperfield.llm.common import draw, drawn, text_blocks
 
 DEPTH = 8  # numbers for a byte
 STRIDE = 4
@@ -146,8 +146,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, training: Training
     if not counts:
         return None
     share = {y: min(1.0, training.sample / len(counts) / n) for y, n in counts.items()}
-    limit = sum((F.when(F.col("y") == y, F.lit(int(s * (1 << 20)))).otherwise(0) for y, s in share.items()), F.lit(0))
-    sample = usable.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) < limit)
+    limit = sum((F.when(F.col("y") == y, F.lit(drawn(training.sample, len(counts) * n))).otherwise(0).cast("long") for y, n in counts.items()), F.lit(0))
+    sample = usable.filter(draw("doc_id") < limit)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most about training.sample short rows
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from paperfield.llm import langid
+from paperfield.llm.common import DRAWS, draw, drawn
 
 WORDS = {"xx": "the of and thing ation".split(), "yy": "der die und schaft ung".split(), "zz": "le la et tion eaux".split()}
 
@@ -57,3 +59,13 @@ def test_grams_stay_inside_a_text():
     data = np.frombuffer(b"abcdefabcdeABC", np.uint8)
     values, place = langid.grams(data, np.array([0, 6, 11]), np.array([6, 5, 3]))
     assert place.tolist() == [0, 1, 2, 6, 7] and values[:2].tolist() == values[3:].tolist()
+
+
+@pytest.mark.parametrize("rows", [10, 2_000, 10**7, 10**10, 10**13])
+def test_samples_of_any_number_of_rows(spark, rows):
+    """About ``sample`` rows lie below the limit, however many there are: draws are even down to their last bits."""
+    limit = drawn(2000, rows)
+    assert limit == DRAWS if rows <= 2000 else abs(limit * rows / DRAWS - 2000) < 1
+    draws = spark.range(100_000).select(draw("id").alias("d"), (F.pmod(draw("id"), F.lit(1 << 42)) / F.lit(1 << 42)).alias("fine"))
+    low, high, fine = draws.agg(F.min("d"), F.max("d"), F.avg("fine")).first()
+    assert 0 <= low < DRAWS // 10_000 and DRAWS - DRAWS // 10_000 < high < DRAWS and abs(fine - 0.5) < 0.01
