@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from paperfield.catalog.crawl import PART_CRAWL, part_crawl, part_site
 from paperfield.catalog.registry import NOW, RULES, plain, query, table
-from paperfield.session import new_location
+from paperfield.session import materialize, new_location
 from paperfield.streaming import counts, crawl, dedup, ingest, leases, retries
 from paperfield.streaming.runner import file_stream
 
@@ -12,13 +12,13 @@ from paperfield.streaming.runner import file_stream
 BATCHES = 4
 
 
-def pieces(spark, rows, piece, name):
-    """``rows`` as a stream of ``BATCHES`` batches; ``piece`` is the number of a row's batch."""
+def pieces(spark, rows, piece, name, batches=BATCHES):
+    """``rows`` as a stream of about ``batches`` batches; ``piece`` is the number of a row's batch."""
     path = new_location(spark, name)
-    for number in range(BATCHES):
+    for number in range(batches):
         rows.filter(piece == number).write.mode("append").parquet(path)
     files = len(spark.read.parquet(path).inputFiles())
-    return file_stream(spark, path, rows.schema, files_per_batch=-(-files // BATCHES))
+    return file_stream(spark, path, rows.schema, files_per_batch=-(-files // batches))
 
 
 def _events(spark, folder, late=False):
@@ -127,6 +127,6 @@ def stream_ingest(spark, folder):
 def stream_crawl(spark, folder):
     """The crawl of ``crawl_levels`` over a stream: the second answer of a part comes in the last batch."""
     site = part_site(spark, folder)
-    piece = F.when(F.col("try") > 0, BATCHES - 1).otherwise(F.col("p_partkey") % BATCHES)
-    answers = pieces(spark, site, piece, "responses").drop("p_partkey", "try")
+    piece = F.when(F.col("try") > 0, 2).otherwise(F.col("p_partkey") % 3)
+    answers = pieces(spark, materialize(site, "site"), piece, "responses", 3).drop("p_partkey", "try")
     return part_crawl(spark, folder, lambda seeds, rules, options, at: crawl.crawl_stream(answers, seeds, rules, options, at, buckets=8))

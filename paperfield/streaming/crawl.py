@@ -26,6 +26,8 @@ from paperfield.session import materialize, new_location
 from paperfield.streaming.runner import file_stream, last_committed, run_available
 from paperfield.streaming.state import BUCKETS, BucketedState
 
+# an answer is taken note of in these; denied jobs stay denied
+UNANSWERED = ("queued", "robots", "skipped")
 _FRONTIER = StructType().add("url", "string").add("depth", "integer").add("priority", "integer").add("attempts", "integer")
 _VISITED = (
     StructType([*_FRONTIER.fields]).add("status", "string").add("http_status", "integer").add("final", "string").add("kind", "string")
@@ -87,7 +89,7 @@ class CrawlStream:
         self.pages.write(answers, number)
         jobs = materialize(self._jobs(batch.filter("url is not null"), answers, number), "jobs")
 
-        waiting = F.col("status").isNull() | (F.col("status") == "queued")
+        waiting = F.col("status").isNull() | F.col("status").isin(*UNANSWERED)
         open_jobs = jobs.filter(waiting)
         facts = self.pages.lookup(materialize(open_jobs.select(F.col("url").alias("request")), "open"), number).drop("links")
         judged = judge(
@@ -120,7 +122,7 @@ class CrawlStream:
         named = materialize(met.unionByName(answered).groupBy("url").agg(*fields), "named")
         joined = named.join(self.visited.lookup(named, number - 1), "url", "left")
         new = F.col("status").isNull() & F.col("_depth").isNotNull()
-        retried = (F.col("status") == "queued") & F.col("_answered")
+        retried = F.col("status").isin(*UNANSWERED) & F.col("_answered")
         nearer = F.col("_depth") < F.col("depth")
         chosen = joined.filter(new | F.coalesce(retried, F.lit(False)) | F.coalesce(nearer, F.lit(False)))
         return chosen.withColumns(

@@ -8,7 +8,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from paperfield.functions.retry import CRAWL_LEASE_SECONDS, plus_seconds
 from paperfield.operators.skew import with_next
-from paperfield.session import new_location
+from paperfield.session import materialize, new_location
 from paperfield.streaming.runner import VersionedTable, run_available
 
 _EVENT = StructType(
@@ -44,7 +44,11 @@ def _horizon(events: DataFrame, delay_seconds: int) -> Column:
 def expired_leases_stream(
     stream: DataFrame, root: str | None = None, delay_seconds: int = 0, lease_seconds: int = CRAWL_LEASE_SECONDS
 ) -> DataFrame:
-    """The same over a stream: one open event per job is kept between batches."""
+    """The same over a stream.  A lease runs out when event time passes it, whether or not its job has an event then.
+
+    Between batches the last event is kept of jobs with an open lease, and of others until event time, less the
+    delay, has passed it: finished jobs leave the state.
+    """
     spark = stream.sparkSession
     root = root or new_location(spark, "leases")
     state = VersionedTable(spark, f"{root}/state", _EVENT)
@@ -52,10 +56,12 @@ def expired_leases_stream(
 
     def handle(batch: DataFrame, number: int) -> None:
         events = batch.select(*_EVENT.names).unionByName(state.version(number - 1))
-        judged = _expired(events, _horizon(events, delay_seconds), lease_seconds)
+        horizon = _horizon(events, delay_seconds)
+        judged = materialize(_expired(events, horizon, lease_seconds), "judged")
         out.write(judged.filter("expired").select("job", F.col("ts").alias("claimed_at"), "locked_until"), number)
         kind = F.when(F.col("expired"), "released").otherwise(F.col("kind"))
         last = F.max_by(F.struct("ts", "event_id", kind.alias("kind")), F.struct("ts", "event_id")).alias("_last")
-        state.write(judged.groupBy("job").agg(last).select("job", "_last.*"), number)
+        lasts = judged.groupBy("job").agg(last).select("job", "_last.*")
+        state.write(lasts.filter((F.col("kind") == "claim") | (F.col("ts") >= horizon)), number)
 
     return out.up_to(run_available(stream, handle, f"{root}/checkpoint"))

@@ -109,11 +109,13 @@ class BucketedState:
             F.when(F.col("_added").isNotNull(), F.array_append(versions, F.lit(str(number)))).otherwise(versions).alias("versions"),
             F.coalesce(both, "filter", "_added").alias("filter"),
         )
-        index = materialize(index, "index")
+        target = f"{self.root}/index/v{number}"
+        index.coalesce(1).write.mode("overwrite").parquet(target)
+        index = self._index(number)
         long = index.filter(F.size("versions") > self.deltas + 1).select("bucket", "versions").collect()
         if long:
             folders = [f"{self.root}/rows/v{v}/bucket={r['bucket']}" for r in long for v in r["versions"]]
             merged = self._current(folders).withColumn("bucket", self.bucket())
             merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}c")
-            index = index.withColumn("versions", F.when(F.size("versions") > self.deltas + 1, F.array(F.lit(f"{number}c"))).otherwise(F.col("versions")))
-        index.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/v{number}")
+            index = materialize(index.withColumn("versions", F.when(F.size("versions") > self.deltas + 1, F.array(F.lit(f"{number}c"))).otherwise(F.col("versions"))), "index")
+            index.coalesce(1).write.mode("overwrite").parquet(target)
