@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 GAP = re.compile(rb"[^A-Za-z\x80-\xff]")
 END = b" "  # ends each term; no term has it
 PIECE = 1 << 20
-BLOCK = 1 << 24  # bytes of terms that a task groups at once
+BLOCK = 1 << 22  # bytes of terms that a task groups at once
 SCALE = 1_000_000_000
 
 
@@ -56,7 +57,10 @@ def document_terms(docs: DataFrame) -> DataFrame:
 
             def rows() -> pa.RecordBatch:
                 kept = [c.slice(first, len(terms)) for c in batch.columns[:2]]
-                return pa.RecordBatch.from_arrays([*kept, pa.array(terms, pa.binary()), pa.array(counts, pa.list_(pa.int32()))], ["lang", "source", "terms", "counts"])
+                ends = np.cumsum([0, *map(len, counts)])
+                numbers = pa.array(np.fromiter(chain.from_iterable(counts), np.int32, ends[-1]))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), numbers)
+                return pa.RecordBatch.from_arrays([*kept, pa.array(terms, pa.binary()), lists], ["lang", "source", "terms", "counts"])
 
             for text in batch.column(2).cast(pa.large_binary()):
                 found = _count(text.as_py() or b"")
@@ -118,7 +122,7 @@ class _Spans:
         return False
 
     def values(self) -> pa.Array:
-        ends = np.cumsum(self.size)
+        ends = np.cumsum(self.size, dtype=np.int64)
         places = np.repeat(self.start - ends + self.size, self.size) + np.arange(ends[-1] if len(ends) else 0)
         offsets = np.append(0, ends).astype(np.int64)
         found = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(self.data[places])])
@@ -134,9 +138,10 @@ def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.n
         last = max(first + 1, int(np.searchsorted(total, (total[first - 1] if first else 0) + BLOCK, "right")))
         begin, size = starts[first], lengths[first:last]
         data = np.concatenate([content[begin : begin + size.sum()], np.zeros(8, np.uint8)])
-        ends = np.flatnonzero(data[:-8] == END[0]) + 1
-        spans = _Spans(data, np.append(0, ends)[: len(ends)], np.diff(ends, prepend=0))
-        yield first, last, np.searchsorted(np.cumsum(size), ends - 1, "right") + first, spans
+        ends = (np.flatnonzero(data[:-8] == END[0]) + 1).astype(np.int32)
+        spans = _Spans(data, np.append(np.int32(0), ends)[: len(ends)], np.diff(ends, prepend=np.int32(0)))
+        held = np.diff(np.searchsorted(ends, np.cumsum(size), "right"), prepend=0)  # terms of each row
+        yield first, last, np.repeat(np.arange(first, last, dtype=np.int32), held), spans
         first = last
 
 
