@@ -15,6 +15,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperfield.llm.common import text_column
+
 END = 1  # id after each document
 BLOCK_TOKENS = 1 << 20
 
@@ -89,6 +91,12 @@ def pack(sizes: np.ndarray, window: int) -> list[list[tuple[int, int, int]]]:
     return sequences
 
 
+def stretches(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The values of ``flat`` in stretches of ``sizes`` from ``starts``, one stretch after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
 class Encoder:
     """Token ids of texts.
 
@@ -114,8 +122,8 @@ class Encoder:
 
     def _forget(self) -> None:
         self.places: dict[str, int] = {"": 0}
-        self.ids = [np.array([END], np.uint32)]  # the end id, then the ids of all places; place 0 is empty
-        self.sizes = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, np.uint32)  # the ids of all places, one after the other; place 0 is empty
+        self.bounds = np.zeros(2, np.int64)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -123,31 +131,45 @@ class Encoder:
     def _words(self, parts: list[str]) -> None:
         """Encode new parts; words of letters together, as each of them has one closing token."""
         words = [p for p in parts if p.isalpha()] if self.closing.any() else []
+        found, sizes, first = [], [], len(self.places)
         for low in range(0, len(words), 500):
             some = words[low : low + 500]
             ids = self._whole([" ".join(some)])[0]
             ends = np.flatnonzero(self.closing[ids]) + 1
             if len(ends) == len(some):
-                self.ids.append(ids)
-                self.sizes = np.append(self.sizes, np.diff(ends, prepend=0))
-                self.places.update(zip(some, range(len(self.sizes) - len(some), len(self.sizes))))
-        rest = [p for p in parts if p not in self.places]
-        found = self._whole(rest)
-        self.ids += found
-        self.sizes = np.append(self.sizes, [len(f) for f in found]).astype(np.int64)
-        self.places.update(zip(rest, range(len(self.sizes) - len(rest), len(self.sizes))))
-
-    def _parts(self, runs: list[str]) -> np.ndarray:
-        """Places of the two parts of each distinct run."""
-        heads = [run.rstrip(self.MARKS) for run in runs]
-        heads = [head if head and head[-1].lower()[-1].isalnum() else run for head, run in zip(heads, runs)]
-        tails = [run[len(head) :] for head, run in zip(heads, runs)]
-        wanted = set(heads) | set(tails)
-        if len(self.places) + len(wanted) > self.KEPT:
+                found.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
+                self.places.update(zip(some, range(len(self.places), len(self.places) + len(some))))
+        rest = [p for p in parts if p not in self.places] if len(self.places) < first + len(parts) else []
+        self.places.update(zip(rest, range(len(self.places), len(self.places) + len(rest))))
+        found += self._whole(rest)
+        sizes.append(np.array([len(f) for f in found[len(found) - len(rest) :]], np.int64))
+        self.ids = np.concatenate([self.ids, *found])
+        self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(np.concatenate(sizes)))
+
+    def _cut(self, runs: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """The two parts of each run; the second is empty where no letter or digit precedes the closing punctuation."""
+        heads = pc.ascii_rtrim(runs, self.MARKS)
+        last = pc.utf8_slice_codeunits(heads, -1).dictionary_encode()
+        closed = [c != "" and c.lower()[-1].isalnum() for c in last.dictionary.to_pylist()]
+        heads = pc.if_else(pa.array(closed, pa.bool_()).take(last.indices), heads, runs)
+        content, starts, lengths = text_column(runs)
+        begun = text_column(heads)[2]
+        tails = stretches(content, starts + begun, lengths - begun)
+        bounds = np.append(0, np.cumsum(lengths - begun)).astype(np.int32)
+        return heads, pa.StringArray.from_buffers(len(runs), pa.py_buffer(bounds), pa.py_buffer(tails))
+
+    def _runs(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct runs, one after the other, and their bounds."""
+        parts = pa.concat_arrays(self._cut(runs)).dictionary_encode()
+        texts = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.places) + len(texts) > self.KEPT:
             self._forget()
-        self._words(sorted(wanted - self.places.keys()))
-        find = self.places.__getitem__
-        return np.stack([np.fromiter(map(find, x), np.int64, len(runs)) for x in (heads, tails)], axis=1)
+        self._words([t for t in texts if t not in self.places])
+        places = np.fromiter(map(self.places.__getitem__, texts), np.int64, len(texts))
+        of = places[parts.indices.to_numpy()].reshape(2, -1).T.ravel()
+        sizes = np.diff(self.bounds)[of]
+        return stretches(self.ids, self.bounds[of], sizes), np.append(0, np.cumsum(sizes)[1::2])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with the end id after each text, and the number of ids of each text."""
@@ -156,25 +178,19 @@ class Encoder:
         plain = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(special, "", texts)))
         coded = plain.flatten().dictionary_encode()
         per = np.asarray(plain.value_lengths()).astype(np.int64)
-        of = self._parts(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)].ravel()
-        per *= 2
-        flat = np.concatenate(self.ids)
-        sizes, starts = self.sizes, 1 + np.cumsum(self.sizes) - self.sizes
+        of = coded.indices.to_numpy()
+        flat, bounds = self._runs(coded.dictionary)
         whole = np.flatnonzero(np.asarray(special))
-        if len(whole):  # such a text is one part of its own
-            found = self._whole(texts.take(pa.array(whole)).to_pylist())
-            own = np.array([len(f) for f in found], np.int64)
-            of = np.insert(of, np.cumsum(per)[whole], np.arange(len(sizes), len(sizes) + len(whole)))
-            sizes, starts = np.append(sizes, own), np.append(starts, len(flat) + np.cumsum(own) - own)
-            flat = np.concatenate([flat, *found])
-            per[whole] += 1
-        of = np.insert(of, np.cumsum(per), len(sizes))  # the end id closes each text
-        sizes, starts = np.append(sizes, 1), np.append(starts, 0)
-        run_sizes = sizes[of]
-        total = np.append(0, np.cumsum(run_sizes))
-        ids = flat[np.repeat(starts[of] - total[:-1], run_sizes) + np.arange(int(total[-1]))]
-        bounds = np.append(0, np.cumsum(per + 1))
-        return ids, total[bounds[1:]] - total[bounds[:-1]]
+        found = self._whole(texts.take(pa.array(whole)).to_pylist())  # such a text is one run of its own
+        of = np.insert(of, np.cumsum(per)[whole], np.arange(len(bounds) - 1, len(bounds) - 1 + len(whole)))
+        per[whole] += 1
+        found.append(np.array([END], np.uint32))  # the end id closes each text
+        flat, bounds = np.concatenate([flat, *found]), np.append(bounds, bounds[-1] + np.cumsum([len(f) for f in found]))
+        of = np.insert(of, np.cumsum(per), len(bounds) - 2)
+        sizes = np.diff(bounds)[of]
+        total = np.append(0, np.cumsum(sizes))
+        closed = np.append(0, np.cumsum(per + 1))
+        return stretches(flat, bounds[of], sizes), np.diff(total[closed])
 
 
 def pieces(docs: DataFrame, path: str, window: int = 2048, by_words: bool = True, with_ids: bool = True) -> DataFrame:

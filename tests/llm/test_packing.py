@@ -59,6 +59,22 @@ def test_encoding_by_words_is_that_of_the_library():
             assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_runs_are_cut_at_once_and_kept_as_one_array():
+    marks = packing.Encoder.MARKS
+    r = random.Random(2)
+    runs = sorted({"".join(r.choices("aZ9'.,!-é²İ中\u0300", k=r.randint(0, 6))) for _ in range(500)} | {"", "...", "x...", "İ."})
+    encoder = packing.Encoder(PATH, True)
+    heads, tails = encoder._cut(pa.array(["unused", *runs]).slice(1))
+    for run, head, tail in zip(runs, heads.to_pylist(), tails.to_pylist(), strict=True):
+        bare = run.rstrip(marks)
+        closed = bare != "" and bare[-1].lower()[-1].isalnum()
+        assert (head, tail) == ((bare, run[len(bare) :]) if closed else (run, ""))
+    for _ in range(2):
+        encoder.encode(pa.array([" ".join(runs)]))
+        assert isinstance(encoder.ids, np.ndarray) and encoder.bounds[-1] == len(encoder.ids)  # not an array a part
+        assert len(encoder.bounds) == len(encoder.places) + 1
+
+
 def test_pieces_and_sequences(spark, monkeypatch):
     monkeypatch.setattr(packing, "BLOCK_TOKENS", 1 << 9)
     from tokenizers import Tokenizer
