@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,13 +45,13 @@ def part_ranges(parts: DataFrame, key: str = "doc_id") -> DataFrame:
     return swept.withColumn("cut", cut).withColumn("used", ~F.col("gap") & (cut < F.col("length")))
 
 
-def assemble_parts(parts: DataFrame, key: str = "doc_id") -> DataFrame:
+def assemble_parts(parts: DataFrame, key: str = "doc_id", newest: DataFrame | None = None) -> DataFrame:
     """Bodies from ranged parts: (key, body, n_parts, resumed, contiguous, whole).
 
     Overlaps are cut, and a body ends before the first gap; ``contiguous`` says that there is none, ``whole`` that the
     ``total`` length is reached too, where a part names one.  ``n_parts`` counts the live parts before a gap.  Part numbers
     must be unique within a key (:func:`advance_parts` sees to that).  The sweep works on offsets and lengths; the bytes
-    move once, to where their key is put together.
+    move once, to where their key is put together, together with what ``newest`` (key, newest) says of the key.
     """
     swept = part_ranges(parts, key)
     repeated = F.raise_error(F.lit("part numbers repeat within a key"))
@@ -62,30 +63,36 @@ def assemble_parts(parts: DataFrame, key: str = "doc_id") -> DataFrame:
         (~F.bool_or("gap")).alias("contiguous"),
         (end >= F.coalesce(F.max("total"), F.lit(0))).alias("_ended"),
     )
+    if newest is not None:
+        plan = plan.join(newest, key, "left")
     joined = plan.join(parts.filter(F.col("status").isin(200, 206)).select(key, "part_no", "status", "offset", "bytes"), key)
     cut = F.col("_used")[F.col("part_no")]
     pieces = joined.withColumn("_piece", F.when(cut.isNotNull(), F.substring("bytes", (cut + 1).cast("int"), F.length("bytes"))))
     pieces = pieces.withColumn("_at", F.when(F.col("status") == 200, 0).otherwise(F.col("offset")) + F.coalesce(cut, F.lit(0)))
     facts = ["n_parts", "resumed", "contiguous", "_ended"]
-    whole = pieces.groupBy(key, *facts).agg(F.coalesce(F.expr("listagg(_piece) within group (order by _at)"), F.lit(b"")).alias("body"))
-    return whole.select(key, "body", "n_parts", "resumed", "contiguous", (F.col("contiguous") & F.col("_ended")).alias("whole"))
+    carried = [F.first("newest").alias("newest")] if newest is not None else []
+    whole = pieces.groupBy(key, *facts).agg(F.coalesce(F.expr("listagg(_piece) within group (order by _at)"), F.lit(b"")).alias("body"), *carried)
+    shown = ["newest"] if newest is not None else []
+    return whole.select(key, "body", "n_parts", "resumed", "contiguous", (F.col("contiguous") & F.col("_ended")).alias("whole"), *shown)
 
 
-def advance_parts(parts: DataFrame, earlier: DataFrame, key: str = "doc_id") -> Assembled:
+def advance_parts(
+    parts: DataFrame, earlier: DataFrame, key: str = "doc_id", claimed: DataFrame | None = None, carry: Sequence[str] = ()
+) -> Assembled:
     """Whole bodies of the parts of a batch and the open parts of earlier ones, and the parts that stay open.
 
-    A repeated part, of the same number, counts once; the one of the batch counts.
+    A repeated part, of the same number, counts once; the one of the batch counts.  Parts of the batch whose key is not in
+    ``claimed`` do not count; they are left out in the exchange by key that also tells repeated parts.  With ``carry``,
+    bodies have these columns of the batch's last part of their key as a struct ``newest``, NULL without such a part.
     """
     columns = parts.columns
-    both = materialize(
-        first_per_key(
-            parts.withColumn("_age", F.lit(0)).unionByName(earlier.select(columns).withColumn("_age", F.lit(1))),
-            [key, "part_no"], [F.col("_age"), F.col("offset"), F.length("bytes").desc()],
-        ).drop("_age"),
-        "parts",
-    )
-    bodies = materialize(assemble_parts(both, key), "assembled")
-    open_ = both.filter(F.col("status").isin(200, 206)).join(bodies.filter("whole").select(key), key, "left_anti")
+    every = parts.withColumn("_age", F.lit(0)).unionByName(earlier.select(columns).withColumn("_age", F.lit(1)))
+    if claimed is not None:
+        every = every.join(claimed.select(key, F.lit(True).alias("_claimed")), key, "left").filter("_age = 1 or _claimed").drop("_claimed")
+    both = materialize(first_per_key(every, [key, "part_no"], [F.col("_age"), F.col("offset"), F.length("bytes").desc()]), "parts")
+    last = F.max_by(F.struct(*carry), F.when(F.col("_age") == 0, F.struct("part_no"))).alias("newest") if carry else None
+    bodies = materialize(assemble_parts(both.drop("_age"), key, both.groupBy(key).agg(last) if carry else None), "assembled")
+    open_ = both.select(columns).filter(F.col("status").isin(200, 206)).join(bodies.filter("whole").select(key), key, "left_anti")
     return Assembled(bodies, open_)
 
 

@@ -29,13 +29,17 @@ def download_step(
     layout: str = "content_addressed",
     retries: int = DOWNLOAD_RETRIES,
     stored: DataFrame | None = None,
+    claimed: DataFrame | None = None,
 ) -> DownloadStep:
     """Apply one batch of fetched bodies (canonical_url, http_status, headers, body, resumed, at).
 
     One scan writes the facts of the answers, and everything is decided on those.  ``bodies`` then takes, in a second
-    scan, one body of each digest that is not in ``stored`` (sha256).
+    scan, one body of each digest that is not in ``stored`` (sha256).  Answers whose address is not in ``claimed``
+    (canonical_url) are left out by their facts, so no body moves for that.
     """
     facts = materialize(body_facts(fetched), "facts")
+    if claimed is not None:
+        facts = facts.join(claimed.select("canonical_url"), "canonical_url", "left_semi")
     results = with_paths(facts.join(documents.select("canonical_url", "state", "filename"), "canonical_url"), root, layout)
     if layout != "content_addressed":
         good = results.filter("ok").select(

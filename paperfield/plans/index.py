@@ -214,19 +214,17 @@ class DocumentIndex:
         claimed = materialize(due.unionByName(leased).join(answered, "canonical_url", "left_semi"), "claimed")
         running = queues.apply_changes(released, claimed, ["canonical_url"])
         keys = claimed.select("canonical_url")
-        batch = fetched.join(keys, "canonical_url", "left_semi")
-        changes = {}
+        batch, changes = fetched, {}
         if parts is not None:
-            pieces = tables.align(parts, schemas.DOWNLOAD_PARTS).join(keys, "canonical_url", "left_semi")
-            assembled = bodies.advance_parts(pieces, self.table("parts"), "canonical_url")
-            heads = first_per_key(pieces.select("canonical_url", "part_no", "headers"), ["canonical_url"], [F.desc("part_no")])
-            made = assembled.bodies.join(heads, "canonical_url").select(
-                "canonical_url", F.when(F.col("resumed"), 206).otherwise(200).alias("http_status"), "headers",
+            pieces = tables.align(parts, schemas.DOWNLOAD_PARTS)
+            assembled = bodies.advance_parts(pieces, self.table("parts"), "canonical_url", keys, ["headers"])
+            made = assembled.bodies.filter("newest is not null").select(
+                "canonical_url", F.when(F.col("resumed"), 206).otherwise(200).alias("http_status"), "newest.headers",
                 F.when(F.col("whole"), F.col("body")).alias("body"), "resumed",
             )
-            batch = materialize(batch.select(made.columns).unionByName(made), "batch")
+            batch = batch.select(made.columns).unionByName(made)
             changes["parts"] = assembled.open
-        step = download_step(running, documents, batch.withColumn("at", now), body_root, layout, stored=self.bodies())
+        step = download_step(running, documents, batch.withColumn("at", now), body_root, layout, stored=self.bodies(), claimed=keys)
         writers.write_bodies(step.bodies.drop("copies"), f"{self.root}/bodies")
         self._update(documents=step.documents, download_queue=step.queue, **changes)
 

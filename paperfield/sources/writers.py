@@ -75,9 +75,11 @@ def body_bucket(digest: Column) -> Column:
 def write_bodies(unique: DataFrame, path: str) -> None:
     """Append (sha256, body) to the body table, one folder per bucket of digests, with p1 and p2 of their paths.
 
-    Rows that come out of an exchange by digest, into a multiple of the number of buckets, are written where they are, a
-    folder a task.  Files are sorted by digest, so a lookup reads one folder and skips all but one row group of a file.
+    An exchange by digest into a multiple of the number of buckets, at least the number of shuffle partitions, leaves each
+    task one folder, so the number of files does not grow as tasks times buckets.  Files are sorted by digest, so a
+    lookup reads one folder and skips all but one row group of a file.
     """
+    tasks = BODY_BUCKETS * -(-int(unique.sparkSession.conf.get("spark.sql.shuffle.partitions")) // BODY_BUCKETS)
     p1, p2 = F.substring("sha256", 1, 2), F.substring("sha256", 3, 2)
     placed = unique.withColumns({"p1": p1, "p2": p2, "bucket": body_bucket(F.col("sha256"))})
-    placed.sortWithinPartitions("bucket", "sha256").write.mode("append").partitionBy("bucket").parquet(path)
+    placed.repartition(tasks, "sha256").sortWithinPartitions("bucket", "sha256").write.mode("append").partitionBy("bucket").parquet(path)

@@ -9,6 +9,7 @@ from paperfield.operators import bodies, queues
 from paperfield.operators.tables import align
 from paperfield.plans.download import download_step
 from paperfield.plans.resume import resume
+from paperfield.sources import writers
 
 def now():
     return F.lit("2024-05-01 00:00:00").cast("timestamp")
@@ -158,6 +159,39 @@ def test_parts_overlaps_gaps_and_batches(spark):
         bodies.assemble_parts(frames[0].unionByName(frames[0])).collect()
 
 
+def test_parts_of_unclaimed_jobs_do_not_count(spark):
+    def parts(data):
+        return spark.createDataFrame([(k, n, 206, at, bytearray(b), h) for k, n, at, b, h in data], "doc_id long, part_no int, status int, offset long, bytes binary, headers map<string,string>")
+
+    batch = parts([(1, 2, 2, b"cd", {"ETag": "new"}), (2, 1, 0, b"ab", {}), (None, 1, 0, b"x", {}), (4, 1, 0, b"ab", {"ETag": "a"}), (4, 2, 2, b"c", {"ETag": "b"})])
+    earlier = parts([(1, 1, 0, b"ab", {"ETag": "old"}), (2, 9, 5, b"q", {}), (3, 1, 3, b"z", {"ETag": "z"}), (None, 1, 7, b"n", {})])
+    claimed = spark.createDataFrame([(1,), (1,), (3,), (4,), (None,)], "doc_id long")
+    found = bodies.advance_parts(batch, earlier, claimed=claimed, carry=["headers"])
+    got = {r.doc_id: (bytes(r.body), r.whole, r.newest and r.newest.headers["ETag"]) for r in found.bodies.collect()}
+    assert got == {1: (b"abcd", True, "new"), 2: (b"", False, None), 3: (b"", False, None), 4: (b"abc", True, "b")}
+    assert found.open.columns == batch.columns
+    assert sorted((r.doc_id or 0, r.part_no, bytes(r.bytes)) for r in found.open.collect()) == [(0, 1, b"n"), (2, 9, b"q"), (3, 1, b"z")]
+
+
+def test_answers_of_unclaimed_jobs_move_no_body(spark):
+    queue, docs = download_tables(spark, {"a": 1, "b": 1})
+    batch = fetched(spark, [("a", 200, b"%PDF-1", False), ("b", 200, b"%PDF-2", False)])
+    claimed = queue.filter("canonical_url like '%/a.pdf'").select("canonical_url")
+    step = download_step(queue, docs, batch, "root", claimed=claimed)
+    assert sorted(r.status for r in step.queue.collect()) == ["completed", "processing"]
+    assert [(r.copies, bytes(r.body)) for r in step.bodies.collect()] == [(1, b"%PDF-1")]
+    assert "canonical_url" not in "".join(x for x in step.bodies._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x)
+
+
+def test_a_batch_writes_one_file_a_bucket(spark, tmp_path):
+    unique = spark.range(1500).repartition(4).select(F.sha2(F.col("id").cast("string"), 256).alias("sha256"), F.col("id").cast("string").cast("binary").alias("body"))
+    writers.write_bodies(unique, str(tmp_path / "bodies"))
+    folders = [list(d.glob("*.parquet")) for d in (tmp_path / "bodies").glob("bucket=*")]
+    assert len(folders) > 200 and all(len(files) == 1 for files in folders)
+    back = spark.read.parquet(str(tmp_path / "bodies"))
+    assert back.filter(writers.body_bucket(F.col("sha256")) == F.col("bucket")).count() == 1500
+
+
 def names_one_by_one(files, taken):
     """The rule for a batch, step by step: plain names first, then numbers in order of arrival."""
     taken, given = dict(taken), {}
